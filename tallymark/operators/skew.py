@@ -277,3 +277,25 @@ def dense_number(df: DataFrame, order: Sequence[str], name: str, *, pieces: int
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
     numbered = running_total(one, order, "_one", name, pieces=pieces)
     return numbered.withColumn(name, F.col(name) + 1).drop("_one")
+
+
+def expand(df: DataFrame, count: str, name: str, block: int = 65_536) -> DataFrame:
+    """One row per number 0 .. count-1 of each row, as column ``name``.
+
+    Large counts are cut in blocks that are dealt out to tasks before they are
+    expanded, so no task has to emit a whole group.
+    """
+    largest = df.agg(F.max(count).alias("m")).first()["m"] or 0
+    if largest <= block:
+        return df.where(F.col(count) > 0).withColumn(
+            name, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count).cast("bigint") - 1))
+        )
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, min(MAX_PIECES, -(-largest // block)))
+    blocks = df.where(F.col(count) > 0).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(count) - 1) / block)))
+    )
+    dealt = blocks.repartition(tasks, *[F.col(c) for c in blocks.columns])
+    low = F.col("_block") * block
+    return dealt.withColumn(
+        name, F.explode(F.sequence(low, F.least(low + block, F.col(count).cast("bigint")) - 1))
+    ).drop("_block")

@@ -9,8 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.contract import GRADE_BITS
+from tallymark.functions.text import issue_code
 from tallymark.functions.times import plus_days
 from tallymark.operators.ledger import Ledger
+from tallymark.operators.replay import EventLog
+from tallymark.operators.skew import lag_in_group
 
 AS_OF = "1999-01-01 00:00:00"
 GRADES = (("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 4), ("4-NOT SPECIFIED", 8), ("5-LOW", 16))
@@ -134,3 +138,134 @@ def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
     )
 
 
+
+
+# --------------------------------------------------------------------------- #
+# the same orders as a tidy ledger, on which no rule fires
+# --------------------------------------------------------------------------- #
+
+TIDY_AS_OF = "2003-01-01 00:00:00"
+
+
+def tidy_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
+    o = table(spark, sf_dir, "orders").select(
+        (F.col("o_orderkey") + 1).alias("id"),
+        coupon_of(F.col("o_orderdate")).alias("coupon_id"),
+        F.col("o_orderdate").alias("issued_at"),
+        F.col("o_orderstatus"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+    )
+    open_to_all = F.col("coupon_id") % 2 == 0
+    grade = (
+        F.when(open_to_all & (F.col("priority") == 1), "WELCOME")
+        .when(open_to_all & (F.col("priority") == 2), "SILVER")
+        .when(F.col("priority") <= 3, "GOLD")
+        .otherwise("VIP")
+    )
+    status = F.when(F.col("o_orderstatus") == "F", "USED").when(F.col("o_orderstatus") == "O", "ISSUED").otherwise("EXPIRED")
+    base = o.withColumn("status", status).withColumn("expires_at", plus_days(F.col("issued_at"), F.lit(30)))
+    used_at = plus_days(F.col("issued_at"), F.lit(10))
+    changed_at = F.when(F.col("status") == "USED", used_at).when(F.col("status") == "EXPIRED", F.col("expires_at"))
+    issued = base.select(
+        "id",
+        "coupon_id",
+        F.col("id").alias("member_id"),
+        issue_code(F.col("id")).alias("code"),
+        grade.alias("issued_grade"),
+        "status",
+        "issued_at",
+        "expires_at",
+        F.coalesce(changed_at, F.col("issued_at")).alias("updated_at"),
+    )
+    none = F.lit(None).cast("string")
+    first = base.select(
+        (F.col("id") * 2).alias("id"),
+        F.col("id").alias("issuance_id"),
+        F.lit("ISSUE").alias("event_type"),
+        none.alias("from_status"),
+        F.lit("ISSUED").alias("to_status"),
+        none.alias("reason"),
+        none.alias("request_id"),
+        F.col("issued_at").alias("created_at"),
+    )
+    second = base.where("status <> 'ISSUED'").select(
+        (F.col("id") * 2 + 1).alias("id"),
+        F.col("id").alias("issuance_id"),
+        F.when(F.col("status") == "USED", "USE").otherwise("EXPIRE").alias("event_type"),
+        F.lit("ISSUED").alias("from_status"),
+        F.col("status").alias("to_status"),
+        none.alias("reason"),
+        none.alias("request_id"),
+        changed_at.alias("created_at"),
+    )
+    per_coupon = base.groupBy("coupon_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") != "EXPIRED").alias("live"), F.min("issued_at").alias("t")
+    )
+    month = F.date_trunc("month", "t").cast("timestamp_ntz")
+    return Ledger(
+        coupons=per_coupon.select(
+            F.col("coupon_id").alias("id"),
+            F.when(open_to_all, 15).otherwise(12).alias("eligible_grades_mask"),
+            month.alias("open_at"),
+            plus_days(month, F.lit(28)).alias("close_at"),
+            F.lit(30).alias("valid_days"),
+        ),
+        grades=spark.createDataFrame(list(GRADE_BITS.items()), "code string, bit_value int"),
+        coupon_stocks=per_coupon.select(
+            "coupon_id",
+            (F.col("n") + 100).cast("int").alias("total_quantity"),
+            F.col("live").cast("int").alias("active_count"),
+            F.lit(TIDY_AS_OF).cast("timestamp_ntz").alias("updated_at"),
+        ),
+        issuances=issued,
+        issuance_histories=first.unionByName(second),
+        issuance_usages=base.where("status = 'USED'").select(
+            "id",
+            F.col("id").alias("issuance_id"),
+            F.lit(None).cast("bigint").alias("order_id"),
+            F.lit(0).alias("discount_amount"),
+            used_at.alias("used_at"),
+            F.lit(None).cast("timestamp_ntz").alias("canceled_at"),
+        ),
+        members=base.select("id"),
+    )
+
+
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders read as verification runs."""
+    o = table(spark, sf_dir, "orders")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    return o.select(
+        key.alias("id"),
+        F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("as_of"),
+        F.when(F.col("o_orderstatus") == "F", "CORRUPT").otherwise("CLEAN").alias("dataset"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "INCREMENTAL").otherwise("FULL").alias("scope"),
+        F.when(F.col("o_orderstatus") == "P", "PARTIAL").otherwise("COMPLETE").alias("stats_status"),
+        (cust % 5 + 1).cast("int").alias("attempt"),
+        F.when(F.col("o_totalprice") < 250_000, "SEED").otherwise("BATCH").alias("origin"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("finished_at"),
+        F.sha2((cust % 3).cast("string"), 256).alias("dataset_fingerprint"),
+        F.sha2((cust % 2).cast("string"), 256).alias("findings_checksum"),
+    )
+
+
+def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as an event log: each turn leads from role to role."""
+    c = table(spark, sf_dir, "conversations").select(
+        (F.col("conv_id") * 10_000 + F.col("turn")).alias("id"), "conv_id", "turn", F.col("role").alias("to_status")
+    )
+    linked = lag_in_group(c, "conv_id", ("turn",), "to_status", "from_status")
+    return linked.withColumn("event_type", F.lit("TURN"))
+
+
+TURN_TRANSITIONS = (
+    (None, "TURN", "system"),
+    (None, "TURN", "user"),
+    ("system", "TURN", "user"),
+    ("user", "TURN", "assistant"),
+    ("assistant", "TURN", "user"),
+)
+
+
+def turn_log(transitions=TURN_TRANSITIONS) -> EventLog:
+    return EventLog(key="conv_id", at=None, order=("turn", "id"), target="TURN", transitions=transitions)
