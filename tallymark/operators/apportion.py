@@ -106,7 +106,8 @@ def rake(
                 .first()
             )
             steps = [column_totals[j] / sums[j] if sums[j] else 1.0 for j in range(m)]
-            factors = [f * s for f, s in zip(factors, steps)]
+            # twelve digits: sums added in another order must not give other factors
+            factors = [float(f"{f * s:.12g}") for f, s in zip(factors, steps)]
             if max(abs(s - 1.0) for s in steps) < tolerance:
                 break
     finally:

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from tallymark.operators import replay, skew
+from tallymark.operators import skew
 
 
 @dataclass
@@ -23,7 +22,6 @@ class Ledger:
     verification_runs: DataFrame | None = None
     expected_findings: DataFrame | None = None
     _hot: dict = field(default_factory=dict, repr=False)
-    _digests: dict = field(default_factory=dict, repr=False)
 
     def hot(self, table: str, *columns: str) -> skew.Hot:
         """Heavy keys of one table, looked for once per ledger."""
@@ -31,25 +29,8 @@ class Ledger:
             self._hot[table, columns] = skew.hot_keys(getattr(self, table), columns)
         return self._hot[table, columns]
 
-    def digest(self, as_of: replay.AsOf) -> DataFrame:
-        """The replayed state three rules share, kept until ``release``.
-
-        Kept on executors and their disks; what a lost executor held is
-        computed again from the tables.
-        """
-        key = str(as_of)
-        if key not in self._digests:
-            self._digests[key] = replay.digest(
-                self.issuance_histories, as_of, self.issuances, self.issuance_usages
-            ).persist(StorageLevel.MEMORY_AND_DISK)
-        return self._digests[key]
-
-    def release(self) -> None:
-        while self._digests:
-            self._digests.popitem()[1].unpersist()
-
     def with_tables(self, **tables: DataFrame) -> "Ledger":
-        return replace(self, _hot={}, _digests={}, **tables)
+        return replace(self, _hot={}, **tables)
 
     def tables(self) -> dict[str, DataFrame]:
         return {

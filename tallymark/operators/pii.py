@@ -132,7 +132,7 @@ def layout(blob: Column) -> Column:
     return F.struct(
         F.lower(F.hex(F.substring(blob, 1, C.IV_BYTES))).alias("iv"),
         (size - C.IV_BYTES - C.TAG_BYTES).alias("ciphertext_bytes"),
-        F.lower(F.hex(F.right(blob, F.lit(C.TAG_BYTES)))).alias("tag"),
+        F.lower(F.hex(F.substring(blob, -C.TAG_BYTES, C.TAG_BYTES))).alias("tag"),
     )
 
 

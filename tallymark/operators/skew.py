@@ -83,8 +83,9 @@ def hot_keys(df: DataFrame, columns: Sequence[str], floor: int | None = None) ->
     )
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+def is_small(df: DataFrame, rows: int | None = None) -> bool:
     """True when ``df`` is proven to have at most ``rows`` rows."""
+    rows = BROADCAST_ROWS if rows is None else rows
     return df.limit(rows + 1).count() <= rows
 
 
@@ -95,7 +96,7 @@ def lookup_join(
     how: str = "inner",
     *,
     hot: Hot | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join ``facts`` to a ``lookup`` that has one row per key.
 
@@ -117,7 +118,7 @@ def lookup_join(
     )
     repeated = (
         hot.mark(lookup)
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)).cast("bigint"))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_pieces").cast("bigint") - 1)))
         .drop("_pieces")
     )
     return salted.drop("_pieces").join(repeated, [*on, "_salt"], how).drop("_salt")

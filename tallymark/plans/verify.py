@@ -75,11 +75,7 @@ def verify(
     if ledger.coupon_stats is not None:  # one statistics run is compared, not every repetition of it
         latest = reconcile.latest_stats_run(ledger.verification_runs).select(F.col("id").alias("run_id"))
         ledger.coupon_stats = ledger.coupon_stats.join(F.broadcast(latest), "run_id", "left_semi")  # one row
-    try:
-        found = rules.run_rules(ledger, as_of)
-        _write_findings(found, root, run_id)
-    finally:
-        ledger.release()
+    _write_findings(rules.run_rules(ledger, as_of), root, run_id)
     findings = read_findings(spark, root, run_id)
     result = verdict(ledger, as_of, dataset, findings, seed_run_id)
     record = run_record(
@@ -106,7 +102,8 @@ def verify(
 
 
 def _write_findings(findings: DataFrame, root: str, run_id: int) -> None:
-    numbered = reconcile.numbered_findings(store.checkpoint(findings), run_id)
+    once = store.checkpoint(rules.distinct_findings(findings))  # numbering reads them several times
+    numbered = reconcile.numbered_findings(once, run_id)
     store.conform(numbered, "verification_findings").drop("run_id").write.mode("errorifexists").option(
         "maxRecordsPerFile", store.ROWS_PER_FILE
     ).parquet(f"{root}/verification_findings/run_id={run_id}")

@@ -11,9 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark import contract as C
 from tallymark.functions.times import ntz
 from tallymark.operators import replay, rules, skew
 from tallymark.operators.ledger import Ledger
+from tallymark.sources.store import checkpoint
 
 
 def _inside(at: str, from_ts, as_of) -> Column:
@@ -38,9 +40,9 @@ def incremental_findings(ledger: Ledger, from_ts, as_of) -> DataFrame:
     duplicate rules, whose subject is a coupon, at all issuances of the touched
     issuances' coupons.
     """
-    ids = touched_issuances(ledger, from_ts, as_of)
+    ids = checkpoint(touched_issuances(ledger, from_ts, as_of))  # asked for several times
     touched = skew.lookup_join(ledger.issuances, ids.withColumnRenamed("issuance_id", "id"), ["id"], "left_semi")
-    coupons = touched.select("coupon_id").distinct()
+    coupons = checkpoint(touched.select("coupon_id").distinct())
     same_coupon = skew.lookup_join(ledger.issuances, coupons, ["coupon_id"], "left_semi")
 
     wide = skew.lookup_join(
@@ -53,9 +55,8 @@ def incremental_findings(ledger: Ledger, from_ts, as_of) -> DataFrame:
     parts = [
         rules.stock_mismatch(stocks, replay.digest(wide, as_of, same_coupon)),
         rules.dup_per_member(same_coupon),
-        rules.replay_mismatch(digest),
+        rules.state_findings(stocks, digest, [C.REPLAY_MISMATCH, C.USAGE_MISMATCH]),
         rules.illegal_transition(replay.chain(narrow, as_of)),
-        rules.usage_mismatch(digest),
         rules.grade_violation(touched, ledger.coupons, ledger.grades),
     ]
-    return rules.distinct_findings(reduce(DataFrame.unionByName, parts))
+    return reduce(DataFrame.unionByName, parts)

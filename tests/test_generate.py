@@ -1,0 +1,175 @@
+"""Generated ledgers: no finding on a clean one, exactly the planted ones on a corrupt one."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymark import contract as C
+from tallymark.operators import audits, pii, reconcile, replay, rules, stats
+from tallymark.plans import catalog as plan
+from tallymark.plans import generate, verify
+from tallymark.sources import store
+from tallymark.streaming.incremental import incremental_findings, touched_issuances
+
+KEYS = pii.Keys(b"k" * 32, b"h" * 32)
+CLEAN = plan.Profile(scale=0.002)
+CORRUPT = plan.Profile("CORRUPT", scale=0.02, plant_grade_fault=True)
+
+
+@pytest.fixture(scope="module")
+def clean(spark, tmp_path_factory):
+    return verify.build_ledger(spark, CLEAN, KEYS, str(tmp_path_factory.mktemp("clean")), asof_state=True)
+
+
+@pytest.fixture(scope="module")
+def corrupt(spark, tmp_path_factory):
+    return verify.build_ledger(spark, CORRUPT, KEYS, str(tmp_path_factory.mktemp("corrupt")))
+
+
+def test_clean_has_no_findings(spark, clean):
+    result = verify.verify(spark, clean, dataset="CLEAN", run_id=50)
+    assert result.passed and not any(result.counts.values()) and not result.invariant_problems
+    record = store.read_table(spark, clean, "verification_runs").where("id = 50").first()
+    assert (record["verdict"], record["origin"], record["finding_count"]) == ("PASS", "BATCH", 0)
+    seeded = store.read_table(spark, clean, "verification_runs").where("id = 1").first()
+    assert record["dataset_fingerprint"] == seeded["dataset_fingerprint"]
+    assert reconcile.latest_verdict(store.read_table(spark, clean, "verification_runs")).first()["id"] == 50
+    assert reconcile.latest_stats_run(store.read_table(spark, clean, "verification_runs")).first()["id"] == 2
+
+
+def test_clean_meets_every_constraint(spark, clean):
+    names = [t for t in store.schemas.TABLES if t not in ("verification_findings", "expected_findings")]
+    tables = store.read_tables(spark, clean, names)
+    tables["verification_runs"] = tables["verification_runs"].where("origin = 'SEED'")
+    assert audits.audit_tables(tables, "CLEAN").collect() == []
+
+
+def test_clean_distribution(spark, clean):
+    i = store.read_table(spark, clean, "issuances")
+    total = CLEAN.issuances
+    got = {r["status"]: r["count"] for r in i.groupBy("status").count().collect()}
+    assert got == dict(zip(C.STATUSES, plan.status_targets(total)))
+    soon = stats.expiring_within(i, CLEAN.as_of).count()
+    assert soon > 0
+    members = store.read_table(spark, clean, "members")
+    assert members.count() == members.select("id").distinct().count() == CLEAN.members
+    shares = {r["membership_grade"]: r["count"] / CLEAN.members for r in members.groupBy("membership_grade").count().collect()}
+    assert all(abs(shares[g] - s) < 0.001 for g, s in C.GRADE_MIX)
+    assert pii.round_trip(members, KEYS).isEmpty() and pii.size_audit(members).isEmpty()
+    # 30 % of the members hold most issuances
+    held = i.groupBy("member_id").count().orderBy(F.desc("count")).limit(int(CLEAN.members * 0.3)).agg(F.sum("count")).first()[0]
+    assert held > 0.75 * total
+    drifted = i.join(members.withColumnRenamed("id", "member_id"), "member_id").where("issued_grade <> membership_grade").count()
+    assert 0 < drifted < 0.05 * total
+    state = store.read_table(spark, clean, "asof_state")
+    assert state.count() == total
+
+
+def test_requests_are_the_latest(spark, clean):
+    r = store.read_table(spark, clean, "idempotency_records")
+    h = store.read_table(spark, clean, "issuance_histories").where("request_id IS NOT NULL")
+    assert r.count() == CLEAN.requests
+    oldest = r.agg(F.min("created_at")).first()[0]
+    assert h.where(F.col("created_at") > F.lit(oldest).cast("timestamp_ntz")).count() < CLEAN.requests
+    body = json.loads(r.where("status = 'DONE'").first()["response_body"])
+    assert set(body) == {"issuanceId", "status", "appliedAt"}
+
+
+def test_corrupt_gives_exactly_the_planted_findings(spark, corrupt):
+    result = verify.verify(spark, corrupt, CORRUPT.as_of, "CORRUPT", run_id=60)
+    assert result.passed and (result.expected, result.missing, result.false_positive) == (801, 0, 0)
+    assert result.counts == dict(zip(C.FINDING_TYPES, (200, 200, 100, 200, 100, 1)))
+    runs = store.read_table(spark, corrupt, "verification_runs")
+    record, seeded = runs.where("id = 60").first(), runs.where("id = 1").first()
+    assert record["verdict"] == "FAIL" and record["finding_count"] == 801
+    assert record["findings_checksum"] == seeded["findings_checksum"]
+    findings = verify.read_findings(spark, corrupt, 60).orderBy("id").collect()
+    keys = [(f["finding_type"], f["target_key"]) for f in findings]
+    assert keys == sorted(keys) and [f["id"] for f in findings] == list(range(1, 802))
+
+
+def test_corrupt_keeps_the_common_constraints(spark, corrupt):
+    tables = store.read_tables(
+        spark, corrupt,
+        ("grades", "brands", "coupon_templates", "coupons", "members", "issuances", "issuance_histories", "issuance_usages", "coupon_stocks", "expected_findings"),
+    )
+    assert audits.audit_tables(tables, "CORRUPT").collect() == []
+    broken = {r["constraint_name"] for r in audits.audit_tables(tables, "CLEAN").collect()}
+    assert broken == {"unique issuances(coupon_id, member_id)", "unique issuances(code)"} or "check coupon_stocks stock range" in broken
+
+
+def test_incremental_equals_full_on_what_changed(spark, corrupt):
+    led = store.read_ledger(spark, corrupt)
+    start = CORRUPT.as_of - dt.timedelta(days=30)
+    got = {(r[0], r[1]) for r in incremental_findings(led, start, CORRUPT.as_of).select("finding_type", "target_key").collect()}
+    ids = touched_issuances(led, start, CORRUPT.as_of)
+    coupons = led.issuances.join(ids.withColumnRenamed("issuance_id", "id"), "id").select("coupon_id").distinct()
+    full = rules.run_rules(led, CORRUPT.as_of)
+    by_coupon = full.where(F.col("finding_type").isin("STOCK_MISMATCH", "DUP_PER_MEMBER")).join(
+        coupons.withColumnRenamed("coupon_id", "campaign_id"), "campaign_id", "left_semi"
+    )
+    h = led.issuance_histories.select(F.col("id").alias("history_id"), "issuance_id")
+    by_event = full.where("history_id IS NOT NULL").join(h, "history_id").join(ids, "issuance_id", "left_semi")
+    by_issuance = full.where("finding_type IN ('REPLAY_MISMATCH', 'USAGE_MISMATCH', 'GRADE_VIOLATION')").join(
+        ids.withColumnRenamed("issuance_id", "coupon_id"), "coupon_id", "left_semi"
+    )
+    want = set()
+    for part in (by_coupon, by_event, by_issuance):
+        want |= {(r[0], r[1]) for r in part.select("finding_type", "target_key").collect()}
+    assert got == want and want
+
+
+def test_manifest(spark, clean):
+    m = json.loads(verify.manifest(spark, CLEAN, clean))
+    assert m["measures"]["rows issuances"] == 6_000 and m["faults"] is None
+
+
+@pytest.mark.parametrize("dataset, as_of, seed", [("CLEAN", dt.datetime(2025, 3, 31, 23, 30), 1), ("CORRUPT", dt.datetime(2024, 2, 29, 0, 0, 1), 2)])
+def test_plan_holds_for_other_dates(spark, dataset, as_of, seed):
+    profile = plan.Profile(dataset, scale=0.05, seed=seed, as_of=as_of)
+    cat = plan.build_catalog(spark, profile)
+    assert [r["check"] for r in plan.audit_plan(cat, profile).where("problems > 0").collect()] == []
+    assert cat.count() == profile.past_coupons + 3
+
+
+def test_same_ledger_for_any_partitioning(spark, monkeypatch):
+    profile = plan.Profile(scale=0.001)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    prints = []
+    try:
+        for parts, rows in (("1", 10**6), ("7", 400)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            monkeypatch.setattr(generate, "ROWS_PER_TASK", rows)
+            cat = plan.build_catalog(spark, profile)
+            tables = generate.fact_tables(spark, cat, profile, KEYS)
+            prints.append(
+                {n: tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*df.columns))).first()) for n, df in tables.items()}
+            )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert prints[0] == prints[1]
+
+
+def test_member_permutation_is_invertible(spark):
+    for n_scale in (0.001, 0.0125):
+        profile = plan.Profile(scale=n_scale)
+        df = spark.range(1, profile.members + 1).select("id", generate.rank_of_id(profile, F.col("id")).alias("rank"))
+        df = df.withColumn("back", generate.id_of_rank(profile, F.col("rank")))
+        r = df.agg(F.min("rank"), F.max("rank"), F.count_distinct("rank"), F.count_if(F.col("back") != F.col("id"))).first()
+        assert tuple(r) == (0, profile.members - 1, profile.members, 0)
+
+
+def test_faults_need_room(spark, clean):
+    from tallymark.operators.inject import inject
+
+    with pytest.raises(ValueError, match="too small"):
+        inject(store.read_ledger(spark, clean, ["members"]), CLEAN.as_of)
+
+
+def test_replay_matches_stored_status(spark, clean):
+    led = store.read_ledger(spark, clean)
+    state = replay.replay_state(led.issuance_histories, CLEAN.as_of)
+    both = led.issuances.join(state.withColumnRenamed("issuance_id", "id"), "id")
+    assert both.count() == CLEAN.issuances and both.where("status <> state").isEmpty()
