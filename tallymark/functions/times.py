@@ -27,22 +27,16 @@ def seconds_text(ts: Column) -> Column:
 
 
 def plus_micros(ts: Column, micros: Column) -> Column:
-    """``ts`` moved by a whole number of microseconds.
-
-    Split in seconds and microseconds because the day-time interval constructor
-    takes seconds as a decimal(18,6).
-    """
-    micros = micros.cast("bigint")
-    seconds = (micros.cast("decimal(24,0)") / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")
-    return ts + F.make_dt_interval(secs=seconds)
+    return F.timestamp_add("MICROSECOND", micros.cast("bigint"), ts)
 
 
 def plus_days(ts: Column, days: Column) -> Column:
-    return ts + F.make_dt_interval(days=days.cast("int"))
+    return F.timestamp_add("DAY", days.cast("bigint"), ts)
 
 
-def plus_seconds(ts: Column, seconds: Column) -> Column:
-    return ts + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+def plus_hours(ts: Column, hours: Column | int) -> Column:
+    hours = hours if isinstance(hours, Column) else F.lit(hours)
+    return F.timestamp_add("HOUR", hours.cast("bigint"), ts)
 
 
 def seconds_between(start: Column, end: Column) -> Column:

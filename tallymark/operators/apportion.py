@@ -53,25 +53,14 @@ def spread_quota(df: DataFrame, order: str, cap: str, need: int, name: str = "qu
     the last, partial round goes to the first rows that still have capacity.
     Rows without capacity get 0; when capacity is short everything is handed out.
     """
-    spark = df.sparkSession
     capped = df.withColumn("_cap", F.greatest(F.lit(0), F.least(F.col(cap), F.lit(need))).cast("int"))
-    steps = (
-        spark.range(1, need + 1)
-        .select(F.col("id").cast("int").alias("_round"))
-        .crossJoin(  # need x (need + 1) rows at most
-            F.broadcast(capped.groupBy("_cap").agg(F.count(F.lit(1)).alias("n")).where("_cap > 0"))
-        )
-        .where("_cap >= _round")
-        .groupBy("_round")
-        .agg(F.sum("n").alias("given"))
-    )
-    up_to = steps.alias("a").join(steps.alias("b"), F.col("b._round") <= F.col("a._round")).groupBy(
-        F.col("a._round").alias("_round")
-    ).agg(F.sum("b.given").alias("_sum"))  # need x need rows at most
-    full = up_to.where(F.col("_sum") <= need).agg(
-        F.coalesce(F.max("_round"), F.lit(0)).alias("rounds"), F.coalesce(F.max("_sum"), F.lit(0)).alias("given")
-    ).first()
-    rounds, left = full["rounds"], need - full["given"]
+    # at most need + 1 different caps
+    histogram = {r["_cap"]: r["count"] for r in capped.groupBy("_cap").count().collect()}
+    open_rows = sum(n for c, n in histogram.items() if c > 0)
+    rounds, left = 0, need
+    while 0 < open_rows <= left:
+        rounds, left = rounds + 1, left - open_rows
+        open_rows -= histogram.get(rounds, 0)
     out = capped.withColumn(name, F.least(F.col("_cap"), F.lit(rounds)))
     if left > 0:
         more = capped.where(F.col("_cap") > rounds).orderBy(order).limit(left).select(order, F.lit(1).alias("_more"))
@@ -83,7 +72,7 @@ def spread_quota(df: DataFrame, order: str, cap: str, need: int, name: str = "qu
 
 def rake(
     df: DataFrame, row_total: str, weights: str, column_totals: Sequence[float], name: str = "raked",
-    rounds: int = 40, tolerance: float = 1e-9,
+    rounds: int = 40, tolerance: float = 1e-7,
 ) -> DataFrame:
     """Scale ``weights`` (an array per row) to row totals and column totals.
 

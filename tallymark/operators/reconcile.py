@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark import contract as C
 from tallymark.functions.times import micros_text
 from tallymark.operators import replay, skew
-from tallymark.operators.rules import IDENTITY
+from tallymark.operators.rules import IDENTITY, distinct_findings
+from tallymark.sources.store import checkpoint
 
 
 def compare_sets(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -139,8 +140,9 @@ def check_fault_matrix(
 
 
 def numbered_findings(findings: DataFrame, run_id: int) -> DataFrame:
-    """Rows of ``verification_findings``: id counts up in (type, key) order."""
-    numbered = skew.dense_number(findings, IDENTITY, "id")
+    """Rows of ``verification_findings``: one per identity, id counts up in (type, key) order."""
+    once = checkpoint(distinct_findings(findings))  # numbering reads them several times
+    numbered = skew.dense_number(once, IDENTITY, "id")
     blank = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("-")).alias(c)
     return numbered.select(
         "id",
@@ -185,12 +187,13 @@ def compare_runs(runs: DataFrame) -> DataFrame:
     DETERMINISTIC: same data, same findings. VERIFIER_BUG: same data, other
     findings. DATA_CHANGED: not comparable.
     """
-    w = Window.partitionBy("as_of", "dataset", "scope").orderBy("attempt", "id")
-    before = F.lag(F.struct("id", "dataset_fingerprint", "findings_checksum")).over(w)
+    told = runs.withColumn("_params", F.struct("as_of", "dataset", "scope")).withColumn(
+        "_run", F.struct("id", "dataset_fingerprint", "findings_checksum")
+    )
     same_data = F.col("dataset_fingerprint").eqNullSafe(F.col("_b.dataset_fingerprint"))
     same_findings = F.col("findings_checksum").eqNullSafe(F.col("_b.findings_checksum"))
     return (
-        runs.withColumn("_b", before)
+        skew.lag_in_group(told, "_params", ("attempt", "id"), "_run", "_b")
         .where("_b IS NOT NULL")
         .select(
             F.col("_b.id").alias("first_run_id"),

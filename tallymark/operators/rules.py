@@ -16,6 +16,7 @@ from tallymark import contract as C
 from tallymark.functions.text import target_key
 from tallymark.operators import replay, skew
 from tallymark.operators.ledger import Ledger
+from tallymark.operators.stats import live_counts
 
 IDENTITY = ["finding_type", "target_key"]
 REFERENCES = ["campaign_id", "member_id", "coupon_id", "history_id"]
@@ -55,11 +56,7 @@ def stock_mismatch(stocks: DataFrame, digest: DataFrame) -> DataFrame:
 
     Driven by the stock table; issuances without history are not counted.
     """
-    live = (
-        digest.where(F.col("state").isin(*C.LIVE_STATES) & (F.col("snapshots") > 0))
-        .groupBy("coupon_id")
-        .agg(F.sum("snapshots").alias("live"))
-    )
+    live = live_counts(digest).withColumnRenamed("active_count", "live")
     both = stocks.select("coupon_id", "active_count").join(live, "coupon_id", "left")
     live_count = F.coalesce("live", F.lit(0).cast("bigint"))
     wrong = both.where(F.col("active_count") != live_count)

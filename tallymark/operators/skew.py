@@ -27,6 +27,7 @@ HOT_SHARE = 1 / 1024  # of all rows
 HOT_FLOOR = 1_000_000  # rows; below this one task copes
 MAX_PIECES = 4096
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 OVERSAMPLE = 8  # split candidates per segment
 
 
@@ -83,10 +84,21 @@ def hot_keys(df: DataFrame, columns: Sequence[str], floor: int | None = None) ->
     )
 
 
-def is_small(df: DataFrame, rows: int | None = None) -> bool:
-    """True when ``df`` is proven to have at most ``rows`` rows."""
+def is_small(df: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
+    """True when ``df`` is proven to stay within a number of rows and bytes."""
     rows = BROADCAST_ROWS if rows is None else rows
-    return df.limit(rows + 1).count() <= rows
+    size = BROADCAST_BYTES if size is None else size
+
+    def width(name: str, kind: str) -> Column:
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(name), F.lit(0))
+        if kind.startswith(("array", "map", "struct")):
+            return F.coalesce(F.octet_length(F.to_json(name)), F.lit(0))
+        return F.lit(8)
+
+    widths = reduce(lambda a, b: a + b, [width(f"`{n}`", k) for n, k in df.dtypes])
+    got = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(widths).alias("b")).first()
+    return got["n"] <= rows and (got["b"] or 0) <= size
 
 
 def lookup_join(
@@ -100,7 +112,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``facts`` to a ``lookup`` that has one row per key.
 
-    Small lookups (counted, with a limit) are broadcast. Larger ones are
+    Small lookups (rows and bytes counted, up to a limit) are broadcast. Larger ones are
     shuffled; then fact rows of hot keys are spread over ``_pieces`` salts and
     the lookup row of such a key is repeated once per salt.
     """
@@ -108,7 +120,7 @@ def lookup_join(
     kinds = [(dict(facts.dtypes)[c], dict(lookup.dtypes)[c]) for c in on]
     if any(a != b for a, b in kinds):  # salts come from hashes, which depend on the type
         raise TypeError(f"key types differ: {dict(zip(on, kinds))}")
-    if is_small(lookup.select(*on), broadcast_rows):
+    if is_small(lookup, broadcast_rows):
         return facts.join(F.broadcast(lookup), on, how)
     hot = hot_keys(facts, on) if hot is None else hot
     if not hot:
@@ -233,6 +245,12 @@ def lag_in_group(
     )
 
 
+def _pieces(df: DataFrame, pieces: int | None) -> int:
+    """Ranges of a whole table: as many as the session shuffles in, unless told."""
+    wanted = pieces or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return min(MAX_PIECES, wanted)
+
+
 def _with_global_segment(df: DataFrame, order: Sequence[str], pieces: int) -> DataFrame:
     points = split_points(df.withColumn("_all", F.lit(0)), ["_all"], order, F.lit(pieces)).drop("_all")
     here = F.struct(*[F.col(c) for c in order])
@@ -249,14 +267,14 @@ def running_total(
     value: str,
     name: str,
     *,
-    pieces: int = 64,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over all earlier rows (this one excluded) in ``order``.
 
     ``order`` must identify a row. No window ever sees the whole table: ranges
     are totalled in parallel and their few totals are accumulated.
     """
-    cut = _with_global_segment(df, order, pieces)
+    cut = _with_global_segment(df, order, _pieces(df, pieces))
     totals = cut.groupBy("_segment").agg(F.sum(value).alias("_sum"))
     before = Window.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_segment", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
@@ -273,7 +291,7 @@ def running_total(
     )
 
 
-def dense_number(df: DataFrame, order: Sequence[str], name: str, *, pieces: int = 64) -> DataFrame:
+def dense_number(df: DataFrame, order: Sequence[str], name: str, *, pieces: int | None = None) -> DataFrame:
     """1, 2, 3 .. in ``order`` over the whole table, range by range."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
     numbered = running_total(one, order, "_one", name, pieces=pieces)

@@ -63,15 +63,10 @@ def hourly_stats(events: DataFrame, event: str = "ISSUE", at: str = "created_at"
     )
 
 
-def live_counts(state: DataFrame, issuances: DataFrame) -> DataFrame:
+def live_counts(digest: DataFrame) -> DataFrame:
     """Live issuances per coupon by replay: what active_count should be."""
-    live = state.where(F.col("state").isin(*C.LIVE_STATES)).select(F.col("issuance_id").alias("id"))
-    return (
-        issuances.select("id", "coupon_id")
-        .join(live, "id", "left_semi")
-        .groupBy("coupon_id")
-        .agg(F.count(F.lit(1)).alias("active_count"))
-    )
+    live = F.col("state").isin(*C.LIVE_STATES) & (F.col("snapshots") > 0)
+    return digest.where(live).groupBy("coupon_id").agg(F.sum("snapshots").alias("active_count"))
 
 
 def status_summary(issuances: DataFrame, stocks: DataFrame) -> DataFrame:

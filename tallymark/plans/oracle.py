@@ -282,7 +282,7 @@ UNION ALL SELECT o_orderpriority, COUNT(*) FROM orders GROUP BY o_orderpriority"
 
 # --- personal data ------------------------------------------------------------
 _PEOPLE = """WITH p AS (SELECT c_custkey id, CONCAT(' ', c_name, '@Example.COM ') email, CONCAT('010-', lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0'), '-',
-  lpad(CAST(c_nationkey AS VARCHAR), 4, '0')) phone, c_mktsegment FROM customer)
+  lpad(CAST(c_nationkey AS VARCHAR), 4, '0')) phone, c_mktsegment, c_acctbal < 0 owes FROM customer)
 """
 
 
@@ -296,7 +296,7 @@ _EMAIL_HASH = _hmac("lower(trim(email))")
 _PHONE_HASH = _hmac("regexp_replace(phone, '[^0-9]', '', 'g')")
 SQL["blind_index"] = _PEOPLE + f"SELECT id, {_EMAIL_HASH} email_hash, {_PHONE_HASH} phone_hash FROM p"
 SQL["pii_roundtrip"] = _PEOPLE + "SELECT id, email, phone FROM p"
-SQL["pii_audit"] = _PEOPLE + "SELECT id, 'email' AS field, 'hash differs' problem FROM p WHERE id % 10 = 3"
+SQL["pii_audit"] = _PEOPLE + "SELECT id, 'email' AS field, 'hash differs' problem FROM p WHERE owes"
 SQL["pii_lookup"] = _PEOPLE + f"SELECT id, {_EMAIL_HASH} email_hash FROM p WHERE c_mktsegment = 'BUILDING'"
 SQL["pii_sizes"] = """SELECT page_id id, 'url' AS field, 28 AS "bytes" FROM pages WHERE length(html) % 11 = 0"""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,8 +103,7 @@ def verify(
 
 
 def _write_findings(findings: DataFrame, root: str, run_id: int) -> None:
-    once = store.checkpoint(rules.distinct_findings(findings))  # numbering reads them several times
-    numbered = reconcile.numbered_findings(once, run_id)
+    numbered = reconcile.numbered_findings(findings, run_id)
     store.conform(numbered, "verification_findings").drop("run_id").write.mode("errorifexists").option(
         "maxRecordsPerFile", store.ROWS_PER_FILE
     ).parquet(f"{root}/verification_findings/run_id={run_id}")
@@ -153,6 +153,19 @@ def run_record(
     )
 
 
+@contextmanager
+def small_methods(spark: SparkSession):
+    """Let projections too long for the JVM's compiler (8,000 bytes of byte code a
+    method) be generated in pieces: interpreted, they run several times slower."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def build_ledger(spark: SparkSession, profile: Profile, keys: Keys, root: str, *, asof_state: bool = False) -> str:
     """Generate a ledger under ``root``; returns the folder with its tables.
 
@@ -164,7 +177,8 @@ def build_ledger(spark: SparkSession, profile: Profile, keys: Keys, root: str, *
     base, final = f"{root}/base", f"{root}/ledger"
     first = base if corrupt else final
     store.write_tables(generate.dimension_tables(spark, catalog, profile), first)
-    store.write_tables(generate.fact_tables(spark, catalog, profile, keys), first)
+    with small_methods(spark):
+        store.write_tables(generate.fact_tables(spark, catalog, profile, keys, staging=f"{root}/emitted"), first)
     issued = store.read_table(spark, first, "issuances")
     store.write_table(generate.stocks(catalog, issued, profile), first, "coupon_stocks")
     if corrupt:
