@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.functions.rows import fixed_rows
 from tallymark import contract as C
 from tallymark.functions.times import micros_text
 from tallymark.operators import replay, skew
@@ -121,7 +122,8 @@ def check_fault_matrix(
     spark = expected_findings.sparkSession
     if matrix is None:
         matrix = {(t, r): n for t, (n, rules) in C.FAULT_RULES.items() for r in rules}
-    wanted = spark.createDataFrame(
+    wanted = fixed_rows(
+        spark,
         [(t, r, n) for (t, r), n in sorted(matrix.items())],
         "corrupt_type int, finding_type string, wanted bigint",
     )

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.functions.rows import fixed_rows
 from tallymark import contract as C
 from tallymark.functions.text import target_key
 from tallymark.operators import replay, skew
@@ -301,7 +302,7 @@ def run_rules(ledger: Ledger, as_of: replay.AsOf, only: Iterable[str] = C.FINDIN
 def finding_counts(findings: DataFrame) -> DataFrame:
     """Findings per rule; rules without any show 0."""
     spark = findings.sparkSession
-    names = spark.createDataFrame([(t,) for t in C.FINDING_TYPES], "finding_type string")
+    names = fixed_rows(spark, [(t,) for t in C.FINDING_TYPES], "finding_type string")
     counted = findings.groupBy("finding_type").agg(F.count(F.lit(1)).alias("finding_count"))
     return (
         counted.join(F.broadcast(names), "finding_type", "right")  # six names

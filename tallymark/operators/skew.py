@@ -21,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.functions.rows import fixed_rows
+
 MAX_HOT = 1024
 SKETCH_ITEMS = 10_000
 HOT_SHARE = 1 / 1024  # of all rows
@@ -43,7 +45,7 @@ class Hot:
 
     def frame(self, spark) -> DataFrame:
         rows = [(h, n) for h, n in sorted(self.pieces.items())]
-        return spark.createDataFrame(rows, "_hot bigint, _pieces int")
+        return fixed_rows(spark, rows, "_hot bigint, _pieces int")
 
     def hash(self) -> Column:
         return key_hash(self.columns)

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.functions.rows import fixed_rows
 from tallymark import contract as C
 from tallymark.functions.times import ntz, seconds_between, weekday
 from tallymark.operators.replay import AsOf
@@ -50,7 +51,7 @@ def grade_stats(issuances: DataFrame) -> DataFrame:
 def hourly_stats(events: DataFrame, event: str = "ISSUE", at: str = "created_at", kind: str = "event_type") -> DataFrame:
     """7 x 24 counts of one kind of event by UTC weekday and hour."""
     spark = events.sparkSession
-    days = spark.createDataFrame([(d,) for d in C.DAYS_OF_WEEK], "day_of_week string")
+    days = fixed_rows(spark, [(d,) for d in C.DAYS_OF_WEEK], "day_of_week string")
     grid = days.crossJoin(spark.range(24).select(F.col("id").cast("int").alias("hour")))
     counted = (
         events.where(F.col(kind) == event)

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.functions.rows import fixed_rows
 from tallymark import contract as C
 from tallymark.functions import text, times
 from tallymark.operators import apportion, audits, inject, pii, reconcile, replay, rules, skew, stats
@@ -170,7 +171,7 @@ def planted_faults(spark, sf):
     )
     found = store.checkpoint(rules.run_rules(faulty, adapter.TIDY_AS_OF).select("finding_type", "target_key"))
     wrong = reconcile.compare_sets(faulty.expected_findings, found)
-    names = spark.createDataFrame([(t,) for t in C.FINDING_TYPES], "finding_type string")
+    names = fixed_rows(spark, [(t,) for t in C.FINDING_TYPES], "finding_type string")
     tally = (
         faulty.expected_findings.select("finding_type", F.lit("planted").alias("what"))
         .unionByName(found.select("finding_type", F.lit("found").alias("what")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.functions.rows import fixed_rows
 from tallymark.contract import GRADE_BITS
 from tallymark.functions.text import issue_code
 from tallymark.functions.times import plus_days
@@ -147,7 +148,7 @@ def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grades(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(GRADES), "code string, bit_value int")
+    return fixed_rows(spark, list(GRADES), "code string, bit_value int")
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
@@ -233,7 +234,7 @@ def tidy_ledger(spark: SparkSession, sf_dir: str) -> Ledger:
             plus_days(month, F.lit(28)).alias("close_at"),
             F.lit(30).alias("valid_days"),
         ),
-        grades=spark.createDataFrame(list(GRADE_BITS.items()), "code string, bit_value int"),
+        grades=fixed_rows(spark, list(GRADE_BITS.items()), "code string, bit_value int"),
         coupon_stocks=per_coupon.select(
             "coupon_id",
             (F.col("n") + 100).cast("int").alias("total_quantity"),
