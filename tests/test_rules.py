@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators import audits, reconcile, replay, rules, stats
 from tallymark.operators.ledger import Ledger
+from tallymark.sources import adapter
 
 AS_OF = "2024-01-10 00:00:00"
 
@@ -212,3 +213,39 @@ def test_run_comparison(spark):
     )
     got = {r["second_run_id"]: r["outcome"] for r in reconcile.compare_runs(runs).collect()}
     assert got == {2: "DETERMINISTIC", 3: "VERIFIER_BUG", 4: "DATA_CHANGED"}
+
+
+def test_a_key_range_replays_like_the_whole(spark):
+    h = adapter.histories(spark, "/root/testdata/sf0.001")
+    whole = {r["issuance_id"]: r["state"] for r in replay.replay_state(h, adapter.AS_OF).collect()}
+    part = replay.replay_state(replay.key_range(h, 100, 199), adapter.AS_OF).collect()
+    assert {r["issuance_id"]: r["state"] for r in part} == {k: v for k, v in whole.items() if 100 <= k <= 199}
+
+
+def test_results_do_not_depend_on_the_session_time_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    got = []
+    try:
+        for zone in ("UTC", "Asia/Seoul"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            led = adapter.ledger(spark, "/root/testdata/sf0.001")
+            found = rules.run_rules(led, adapter.AS_OF)
+            fingerprint = reconcile.dataset_fingerprint(led.issuance_histories, led.issuances, led.coupon_stocks, adapter.AS_OF)
+            got.append((reconcile.findings_checksum(found).first()[0], fingerprint.first()[1]))
+            hours = stats.hourly_stats(led.issuance_histories).where("issued_total > 0").count()
+            got[-1] += (hours,)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got[0] == got[1]
+
+
+def test_default_as_of_falls_back_to_utc_now(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+        runs = spark.createDataFrame([], "as_of timestamp_ntz, origin string")
+        now = reconcile.default_as_of(runs).first()["as_of"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    utc = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((utc - now).total_seconds()) < 120
