@@ -224,7 +224,12 @@ def lag_in_group(
     if not hot:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(key).orderBy(*ordering)))
 
-    cut = with_hot_segments(df, key, order, hot)
+    # whole-row copies cannot be told apart by any split point: those of hot keys
+    # become one row with a count, combined map-side
+    marked = hot.mark(df)
+    single = marked.where("_pieces = 1").select(*df.columns, F.lit(1).cast("bigint").alias("_copies"))
+    merged = marked.where("_pieces > 1").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    cut = with_hot_segments(single.unionByName(merged), key, order, hot)
     within = Window.partitionBy(key, "_segment").orderBy(*ordering)
     lagged = cut.withColumn(name, F.lag(value).over(within)).withColumn("_rn", F.row_number().over(within))
     ends = (
@@ -240,11 +245,15 @@ def lag_in_group(
         "_segment",
         F.lag("_end").over(Window.partitionBy(key).orderBy("_segment")).getField(value).alias("_carried"),
     )
-    return (
+    linked = (
         lagged.join(F.broadcast(carried), [key, "_segment"], "left")
         .withColumn(name, F.when(F.col("_rn") == 1, F.col("_carried")).otherwise(F.col(name)))
         .drop("_segment", "_rn", "_carried")
     )
+    # the second and later copies follow their own like
+    more = merged.where("_copies > 1").withColumn("_more", F.col("_copies") - 1)
+    repeats = expand(more, "_more", "_i").select(*df.columns, F.col(value).alias(name))
+    return linked.select(*df.columns, name).unionByName(repeats)
 
 
 def _pieces(df: DataFrame, pieces: int | None) -> int:

@@ -49,6 +49,21 @@ def test_lag_of_a_heavy_group(spark, ties):
     assert got == want
 
 
+def test_lag_among_whole_row_copies(spark):
+    rows = [(i, 7, i, "abc"[i % 3]) for i in range(500)] + [(250, 7, 250, "b")] * 3_000 + [(i, i, 0, "x") for i in range(600, 1_600)]
+    random.Random(3).shuffle(rows)
+    df = spark.createDataFrame(rows, "id bigint, k bigint, t bigint, v string").repartition(5)
+    hot = skew.hot_keys(df, ["k"], floor=100)
+    assert hot
+    last, want = {}, []
+    for id, key, t, v in sorted(rows, key=lambda r: (r[2], r[0])):
+        want.append((id, key, t, v, last.get(key)))
+        last[key] = v
+    got = [tuple(r) for r in skew.lag_in_group(df, "k", ("t", "id"), "v", "p", hot=hot).collect()]
+    order = lambda r: tuple(str(x) for x in r)
+    assert sorted(got, key=order) == sorted(want, key=order)
+
+
 def test_heavy_group_is_cut_in_even_ranges(spark):
     _, df = skewed(spark, 20_000, ties=True)
     hot = skew.hot_keys(df, ["k"], floor=100)
