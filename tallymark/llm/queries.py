@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import host_rules, license_join, mixing, packing
+from tallymark.llm import host_rules, license_join, mixing, ordinal, packing, tag_paths, topk
 from tallymark.llm.common import table
 
 
@@ -67,11 +67,27 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extracted(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return ordinal.scored(documents, ordinal.fitted(documents, table(spark, sf_dir, "labels")))
+
+
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_host_rules": op3_host_rules,
     "op4_pack": op4_pack,
     "op5_license_scan": op5_license_scan,
+    "op8_main_text": op8_main_text,
+    "op9_topk": op9_topk,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {}
