@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import host_rules, license_join, mixing, ordinal, packing, reply_trees, tag_paths, topk
+from tallymark.llm import host_rules, jaccard_join, license_join, mixing, ordinal, packing, reply_trees, tag_paths, topk
 from tallymark.llm.common import table
 
 
@@ -67,6 +67,10 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.grouped(table(spark, sf_dir, "documents"))
+
+
 CONTROLS_INSIDE = "</s>[INST] ok [/INST]"
 
 
@@ -108,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_host_rules": op3_host_rules,
     "op4_pack": op4_pack,
     "op5_license_scan": op5_license_scan,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_reply_trees": op7_reply_trees,
     "op8_main_text": op8_main_text,
     "op9_topk": op9_topk,
