@@ -304,3 +304,14 @@ def grouped(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
         by_class, [*[rows[c] == by_class[c] for c in ("n", "f1", "f2")], rows["doc_id"].isNotNull()], "left"
     )
     return final.select("doc_id", rows["n"].alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """The documents that have the smallest id of their component, one row of each id. Null ids stay."""
+    found = staged(grouped(documents, percent, width))
+    later = bounded(found.where("component_id <> doc_id").select("doc_id").distinct(), IDS)
+    repeated = bounded(found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), IDS)
+    first = documents.join(later, "doc_id", "left_anti").select(*[documents[f"`{c}`"] for c in documents.columns])
+    single = first.join(repeated, "doc_id", "left_anti").select(*[f"`{c}`" for c in documents.columns])
+    double = first.join(repeated, "doc_id", "left_semi").select(*[f"`{c}`" for c in documents.columns])
+    return single.unionByName(double.dropDuplicates(["doc_id"]))

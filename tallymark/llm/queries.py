@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import host_rules, jaccard_join, license_join, mixing, ordinal, packing, reply_trees, tag_paths, topk
+from tallymark.llm import host_rules, jaccard_join, license_join, line_templates, mixing, ordinal, packing, reply_trees, tag_paths, topk
 from tallymark.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicated(table(spark, sf_dir, "documents"))
 
 
+def op2_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id",
@@ -109,6 +113,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_line_templates": op2_line_templates,
     "op3_host_rules": op3_host_rules,
     "op4_pack": op4_pack,
     "op5_license_scan": op5_license_scan,
