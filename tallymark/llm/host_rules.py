@@ -132,18 +132,15 @@ def verdicts(
 
 
 def filtered(documents: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that pass, with their columns. Rows are told apart by id and text."""
+    """The documents that pass, with their columns (none of which may begin with ~). Rows are told apart by id and text."""
     key = F.xxhash64(text_of())
     keyed = documents.select(F.col("doc_id").alias("id"), key.alias("key"), F.col(host).alias("source"), "text")
-    good = (
-        verdicts(keyed, ("id", "key"), "source")
-        .where("kept")
-        .select("id", "key", "host")
-        .distinct()
+    good = verdicts(keyed, ("id", "key"), "source").where("kept").select(
+        F.col("id").alias("~id"), F.col("key").alias("~same"), F.col("host").alias("~host")
     )
     rows = documents.withColumn("~key", key)
     return rows.join(
-        good,
-        F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("~key") == F.col("key")) & F.col(host).eqNullSafe(F.col("host")),
+        good.distinct(),
+        F.col("doc_id").eqNullSafe(F.col("~id")) & (F.col("~key") == F.col("~same")) & F.col(host).eqNullSafe(F.col("~host")),
         "left_semi",
     ).drop("~key")

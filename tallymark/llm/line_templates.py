@@ -118,17 +118,17 @@ def recurring(documents: DataFrame, texts: int = TEXTS) -> DataFrame:
 
 
 def deduplicated(documents: DataFrame, texts: int = TEXTS) -> DataFrame:
-    """The documents without their recurring lines, and `dropped_lines`, how many each has lost."""
-    drops = recurring(documents, texts).groupBy("id", "key").agg(F.collect_set("at").alias("drops"))
+    """The documents without their recurring lines, and `dropped_lines`, how many each has lost. No column may begin with ~."""
+    drops = recurring(documents, texts).groupBy("id", "key").agg(F.collect_set("at").alias("~drops")).withColumnsRenamed({"id": "~id", "key": "~same"})
     rows = documents.withColumn("~key", F.xxhash64(text_of()))
-    joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("~key") == F.col("key")), "left")
+    joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("~id")) & (F.col("~key") == F.col("~same")), "left")
     left = lambda x: F.array_join(
-        F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("drops")), lambda i: F.get(x, i)), "\n"
+        F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), F.col("~drops")), lambda i: F.get(x, i)), "\n"
     )
     kept = F.get(F.transform(F.array(F.split("text", "\n")), left), F.lit(0))
     return (
-        joined.withColumn("text", F.when(F.col("drops").isNull(), F.col("text")).otherwise(kept))
-        .withColumn("dropped_lines", F.coalesce(F.size("drops"), F.lit(0)))
-        .where(F.col("drops").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+        joined.withColumn("text", F.when(F.col("~drops").isNull(), F.col("text")).otherwise(kept))
+        .withColumn("dropped_lines", F.coalesce(F.size("~drops"), F.lit(0)))
+        .where(F.col("~drops").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
         .select(*[F.col(f"`{c}`") for c in documents.columns if c != "dropped_lines"], "dropped_lines")
     )

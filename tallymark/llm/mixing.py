@@ -9,7 +9,7 @@ Means above `PART_MEAN` are split into equal independent parts, whose Poisson co
 Defined results: a null text counts as empty and a null weight as absent; a null source is a source of its own; a null
 id is hashed as the text "null"; rows repeating an id draw the same count; a source without characters gets mean 1;
 an empty table gives an empty result. All columns of the input are kept; `copy` and `shuffle_key` are added, replacing
-columns of these names.
+columns of these names; no other column may begin with ~.
 """
 
 from __future__ import annotations
@@ -102,16 +102,16 @@ def replicated(
         source_rates(documents, source, weights, budget)
         .withColumn("parts", parts)
         .withColumn("cumulative", _cumulative(F.col("rate") / F.col("parts")))
-        .select("mixed_source", "parts", "cumulative")
+        .select(F.col("mixed_source").alias("~source"), F.col("parts").alias("~parts"), F.col("cumulative").alias("~cumulative"))
     )
     identity = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     count = F.aggregate(
         F.transform(
-            F.sequence(F.lit(0), F.col("parts") - 1),
+            F.sequence(F.lit(0), F.col("~parts") - 1),
             lambda p: F.aggregate(
                 F.array(_uniform(seed, identity, p)),  # binds the draw, so that it is hashed once
                 F.lit(0),
-                lambda _, u: F.size(F.filter("cumulative", lambda c: c <= u)),
+                lambda _, u: F.size(F.filter("~cumulative", lambda c: c <= u)),
             ),
         ),
         F.lit(0),
@@ -119,10 +119,10 @@ def replicated(
     )
     plain = documents.drop("copy", "shuffle_key")
     drawn = (
-        plain.join(rates, F.col(source).eqNullSafe(F.col("mixed_source")))
-        .withColumn("copies", count)
-        .where("copies > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        plain.join(rates, F.col(source).eqNullSafe(F.col("~source")))
+        .withColumn("~copies", count)
+        .where(F.col("~copies") > 0)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("~copies"))))
         .select(*[F.col(f"`{c}`") for c in plain.columns], "copy")
     )
     shuffle_key = F.md5(F.concat_ws(":", F.lit(str(seed)), identity, F.col("copy").cast("string"), F.lit("order")))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import host_rules, jaccard_join, license_join, line_templates, mixing, ordinal, packing, reply_trees, tag_paths, topk
+from tallymark.llm import host_rules, jaccard_join, license_join, line_templates, mixing, ordinal, packing, reply_trees, sql, tag_paths, topk
 from tallymark.llm.common import table
 
 
@@ -124,4 +124,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-SQL: dict[str, str] = {}
+#: None for op2, op4, op8 and op10: tests/llm holds these against plain code, round trips and held-out labels.
+SQL: dict[str, str] = {
+    "op1_mix_sources": sql.OP1,
+    "op3_host_rules": sql.OP3,
+    "op5_license_scan": sql.OP5,
+    "op6_ngram_jaccard": sql.OP6,
+    "op7_reply_trees": sql.op7(CONTROLS_INSIDE, reply_trees.BEGIN, reply_trees.END),
+    "op9_topk": sql.OP9,
+}
