@@ -68,6 +68,7 @@ def pack(pieces: Iterable[Piece], limits: Limits = Limits()) -> Iterator[list[Pi
     free = np.zeros(limits.stock, dtype=bool)
 
     def put(at: int, piece: Piece | None) -> None:
+        nonlocal stock, free, demands
         stock[at], free[at] = piece, piece is not None
         if piece is not None:
             demands[at] = piece.demand
@@ -119,6 +120,8 @@ def pack(pieces: Iterable[Piece], limits: Limits = Limits()) -> Iterator[list[Pi
                     first, piece = piece.cut(len(piece.ids) - over)
                     sequence.append(first)
                 over -= len(piece.ids)
+                if free.all():  # cutting may leave one piece more than there is room for
+                    stock, free, demands = [*stock, None], np.append(free, False), np.vstack([demands, demands[:1]])
                 put(int(np.flatnonzero(~free)[0]), piece)
         yield sequence
 
