@@ -49,25 +49,28 @@ def rebalance(
 def spread_quota(df: DataFrame, order: str, cap: str, need: int, name: str = "quota") -> DataFrame:
     """Hand out ``need`` units one per row and round, rows in order, up to caps.
 
-    Full rounds are read off a histogram of the caps (at most ``need`` steps);
-    the last, partial round goes to the first rows that still have capacity.
-    Rows without capacity get 0; when capacity is short everything is handed out.
+    The number of full rounds is read off running totals over the different caps; the last, partial round goes to the
+    first rows that still have capacity, found by numbering these. Rows without capacity get 0; when capacity is short
+    everything is handed out. Nothing but one row of totals leaves the tasks.
     """
-    capped = df.withColumn("_cap", F.greatest(F.lit(0), F.least(F.col(cap), F.lit(need))).cast("int"))
-    # at most need + 1 different caps
-    histogram = {r["_cap"]: r["count"] for r in capped.groupBy("_cap").count().collect()}
-    open_rows = sum(n for c, n in histogram.items() if c > 0)
-    rounds, left = 0, need
-    while 0 < open_rows <= left:
-        rounds, left = rounds + 1, left - open_rows
-        open_rows -= histogram.get(rounds, 0)
-    out = capped.withColumn(name, F.least(F.col("_cap"), F.lit(rounds)))
-    if left > 0:
-        more = capped.where(F.col("_cap") > rounds).orderBy(order).limit(left).select(order, F.lit(1).alias("_more"))
-        out = out.join(F.broadcast(more), order, "left").withColumn(  # at most `need` rows
-            name, F.col(name) + F.coalesce("_more", F.lit(0))
-        ).drop("_more")
-    return out.drop("_cap")
+    capped = df.withColumn("_cap", F.greatest(F.lit(0), F.least(F.col(cap), F.lit(need))).cast("bigint"))
+    caps = capped.where("_cap > 0").groupBy("_cap").agg(F.count(F.lit(1)).alias("_n"), F.sum("_cap").alias("_units"))
+    below = skew.running_total(skew.running_total(caps, ["_cap"], "_units", "_given"), ["_cap"], "_n", "_closed")
+    rows = F.broadcast(capped.agg(F.count_if(F.col("_cap") > 0).alias("_rows")))  # one row
+    given = F.col("_given") + F.col("_cap") * (F.col("_rows") - F.col("_closed"))  # after as many rounds as the cap
+    whole = F.when(given <= need, F.struct(F.col("_cap").alias("rounds"), given.alias("given"), (F.col("_rows") - F.col("_closed") - F.col("_n")).alias("left")))
+    start = F.struct(F.lit(0).cast("bigint").alias("rounds"), F.lit(0).cast("bigint").alias("given"), F.coalesce(F.max("_rows"), F.lit(0)).cast("bigint").alias("left"))
+    last = below.crossJoin(rows).agg(F.coalesce(F.max(whole), start).alias("last"))
+    rest, still = need - F.col("last.given"), F.col("last.left")
+    level = last.select(
+        (F.col("last.rounds") + F.when(still > 0, F.floor(rest / still)).otherwise(0)).cast("bigint").alias("_rounds"),
+        F.when(still > 0, rest % still).otherwise(0).cast("bigint").alias("_more"),
+    )
+    out = capped.crossJoin(F.broadcast(level)).withColumn(name, F.least("_cap", "_rounds"))  # one row
+    done = out.where("_cap <= _rounds")
+    numbered = skew.dense_number(out.where("_cap > _rounds"), [order], "_at")
+    more = numbered.withColumn(name, F.col(name) + (F.col("_at") <= F.col("_more")).cast("bigint")).drop("_at")
+    return done.unionByName(more).drop("_cap", "_rounds", "_more")
 
 
 def rake(

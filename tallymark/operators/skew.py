@@ -25,9 +25,7 @@ from tallymark.functions.rows import fixed_rows
 
 MAX_HOT = 1024
 SKETCH_ITEMS = 10_000
-HOT_SHARE = 1 / 1024  # of all rows
-HOT_FLOOR = 1_000_000  # rows; below this one task copes
-MAX_PIECES = 4096
+HOT_ROWS = 1_000_000  # of one key; up to this one task copes, however large the table is
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
 OVERSAMPLE = 8  # split candidates per segment
@@ -66,20 +64,19 @@ def key_hash(columns: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, columns: Sequence[str], floor: int | None = None) -> Hot:
-    """Keys that hold more than their share of the rows of ``df``."""
+    """Keys of ``df`` with more rows than one task should hold."""
     columns = tuple(columns)
     row = df.agg(
-        F.count(F.lit(1)).alias("n"),
         F.expr(
             f"approx_top_k(xxhash64({', '.join(f'`{c}`' for c in columns)}), {MAX_HOT}, {SKETCH_ITEMS})"
         ).alias("top"),
     ).first()
-    threshold = max(HOT_FLOOR if floor is None else floor, int(row["n"] * HOT_SHARE))
+    threshold = HOT_ROWS if floor is None else floor
     piece = max(1, threshold // 4)
     return Hot(
         columns,
         {
-            item["item"]: min(MAX_PIECES, -(-item["count"] // piece))
+            item["item"]: -(-item["count"] // piece)
             for item in (row["top"] or [])
             if item["count"] > threshold
         },
@@ -87,7 +84,7 @@ def hot_keys(df: DataFrame, columns: Sequence[str], floor: int | None = None) ->
 
 
 def is_small(df: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
-    """True when ``df`` is proven to stay within a number of rows and bytes."""
+    """True when ``df`` is proven to stay within a number of rows and bytes (a count that combines before it is shuffled)."""
     rows = BROADCAST_ROWS if rows is None else rows
     size = BROADCAST_BYTES if size is None else size
 
@@ -99,7 +96,7 @@ def is_small(df: DataFrame, rows: int | None = None, size: int | None = None) ->
         return F.lit(8)
 
     widths = reduce(lambda a, b: a + b, [width(f"`{n}`", k) for n, k in df.dtypes])
-    got = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(widths).alias("b")).first()
+    got = df.agg(F.count(F.lit(1)).alias("n"), F.sum(widths).alias("b")).first()
     return got["n"] <= rows and (got["b"] or 0) <= size
 
 
@@ -190,7 +187,7 @@ def split_points(df: DataFrame, keys: Sequence[str], order: Sequence[str], piece
         .groupBy(*keys, "_cell")
         .agg(F.min_by("_point", F.xxhash64(F.lit("pick"), "_point")).alias("_point"))
     )
-    # bounded: MAX_PIECES * OVERSAMPLE points per key at most
+    # a key's points: OVERSAMPLE for each of its pieces, which hold at least HOT_ROWS / 4 rows
     return sampled.groupBy(*keys).agg(
         _thin(F.sort_array(F.collect_list("_point")), OVERSAMPLE).alias("_points")
     )
@@ -203,8 +200,8 @@ def with_hot_segments(df: DataFrame, key: str, order: Sequence[str], hot: Hot) -
     here = F.struct(*[F.col(c) for c in order])
     return (
         marked.drop("_pieces")
-        .join(F.broadcast(points), key, "left")  # at most MAX_HOT rows, MAX_PIECES points each
-        .withColumn("_segment", F.coalesce(_locate(F.col("_points"), here, MAX_PIECES), F.lit(0)))
+        .join(F.broadcast(points), key, "left")  # at most MAX_HOT rows, a point for each HOT_ROWS / 4 rows
+        .withColumn("_segment", F.coalesce(_locate(F.col("_points"), here, max(hot.pieces.values(), default=1)), F.lit(0)))
         .drop("_points")
     )
 
@@ -238,8 +235,7 @@ def lag_in_group(
         .groupBy(key, "_segment")
         .agg(F.max_by(F.struct(value), F.struct(*order)).alias("_end"))
     )
-    # one row per range of a hot key: bounded by MAX_HOT x MAX_PIECES and in
-    # practice by total rows / piece size, i.e. about 4 x MAX_PIECES
+    # one row per range of a hot key: about one for each HOT_ROWS / 4 rows
     carried = ends.select(
         key,
         "_segment",
@@ -258,8 +254,7 @@ def lag_in_group(
 
 def _pieces(df: DataFrame, pieces: int | None) -> int:
     """Ranges of a whole table: as many as the session shuffles in, unless told."""
-    wanted = pieces or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return min(MAX_PIECES, wanted)
+    return pieces or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _with_global_segment(df: DataFrame, order: Sequence[str], pieces: int) -> DataFrame:
@@ -320,7 +315,7 @@ def expand(df: DataFrame, count: str, name: str, block: int = 65_536) -> DataFra
         return df.where(F.col(count) > 0).withColumn(
             name, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count).cast("bigint") - 1))
         )
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, min(MAX_PIECES, -(-largest // block)))
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-largest // block))
     blocks = df.where(F.col(count) > 0).withColumn(
         "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col(count) - 1) / block)))
     )

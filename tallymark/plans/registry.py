@@ -111,7 +111,7 @@ def finding_counts(spark, sf):
 
 @query
 def numbered_findings(spark, sf):
-    found = rules.run_rules(adapter.ledger(spark, sf), AS_OF, [C.STOCK_MISMATCH, C.USAGE_MISMATCH, C.REPLAY_MISMATCH])
+    found = rules.run_rules(adapter.ledger(spark, sf), AS_OF)
     return reconcile.numbered_findings(found, 1).select("id", "run_id", "finding_type", *FINDING)
 
 
@@ -435,7 +435,10 @@ def sample_without_replacement(spark, sf):
     """Per order, as many distinct parts as it has lines, by permutation."""
     sizes = adapter.lines(spark, sf).groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("k"))
     parts = adapter.table(spark, sf, "part").count()
-    picks = skew.expand(sizes.withColumn("k", F.least("k", F.lit(parts))), "k", "i").select(
+    enough = F.when(F.col("k") <= parts, F.col("k")).otherwise(
+        F.raise_error(F.concat(F.lit("cannot draw that many different parts: "), F.col("k").cast("string"))).cast("bigint")
+    )
+    picks = skew.expand(sizes.withColumn("k", enough), "k", "i").select(
         "l_orderkey", generate.shuffle_index(7, "parts", F.col("i"), F.lit(parts), F.col("l_orderkey"), parts).alias("part")
     )
     each = picks.groupBy("l_orderkey", "part").agg(F.count(F.lit(1)).alias("n"))
@@ -463,7 +466,7 @@ def rebalance(spark, sf):
 @query
 def quota_spread(spark, sf):
     customers = adapter.table(spark, sf, "customer").count()
-    spread = apportion.spread_quota(_order_counts(spark, sf), "o_custkey", "n", min(5_000, customers * 3))
+    spread = apportion.spread_quota(_order_counts(spark, sf), "o_custkey", "n", customers * 3)
     return spread.select("o_custkey", F.col("quota").cast("bigint").alias("quota"))
 
 
@@ -539,13 +542,16 @@ def pii_lookup(spark, sf):
 
 @query
 def pii_sizes(spark, sf):
-    """Encrypted page addresses outside the allowed size."""
+    """Encrypted page addresses outside the allowed size: empty ones, and ones with bytes appended after encryption."""
     url = pii.Field("url")
-    padded = adapter.table(spark, sf, "pages").select(
+    pages = adapter.table(spark, sf, "pages").select(
         F.col("page_id").alias("id"),
-        F.when(F.length("html") % 11 == 0, "").otherwise(F.substring("url", 1, 200)).alias("url"),
+        F.when(F.length("html") % 11 == 0, "").otherwise(F.col("url")).alias("url"),
+        (F.length("html") % 7 == 0).alias("longer"),
     )
-    return pii.size_audit(pii.protect(padded, KEYS, (url,)), (url,))
+    stored = pii.protect(pages, KEYS, (url,))
+    appended = F.when(F.col("longer"), F.concat(url.enc, F.repeat(F.lit("x"), F.lit(300)).cast("binary"))).otherwise(F.col(url.enc))
+    return pii.size_audit(stored.withColumn(url.enc, appended), (url,))
 
 
 # --- exchange format ----------------------------------------------------------

@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture
 def tight(monkeypatch):
     """Thresholds so low that small tables take the paths of large ones."""
-    monkeypatch.setattr(skew, "HOT_FLOOR", 40)
+    monkeypatch.setattr(skew, "HOT_ROWS", 40)
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
 
 
