@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
 def staged(df: DataFrame) -> DataFrame:
     """Written once to the shared folder and read from there: survives lost executors, is computed once.
 
-    The files go when the session ends.
+    The files go with `released`, or else when the session ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
@@ -43,7 +43,17 @@ def staged(df: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = where
+    return out
+
+
+def released(*staged_tables: DataFrame) -> None:
+    """Deletes staged tables that nothing will read again, and lets Spark's cleaner remove the shuffles written for them."""
+    for df in staged_tables:
+        context = df.sparkSession.sparkContext
+        df.staged_path.getFileSystem(context._jsc.hadoopConfiguration()).delete(df.staged_path, True)
+    context._jvm.System.gc()
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A document's set are the hashes of its distinct word windows. Two documents link when 100 * intersection >= PERCENT * union.
 
-* Documents with equal sets are one class from the start; its smallest id stands for it.
+* Documents with equal texts are one class from the start; its smallest id stands for it.
 * Under any order of all tokens, two sets that link share a token among the first n - ceil(PERCENT * n / 100) + 1 of each.
   Two orders are used, and candidates must share such a token under both. Both put rare tokens first: rare ones of a fixed
   quarter of the hash space (their counts are known), then, where a document has too few of these, rare ones of the rest,
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import ascii_lower, bounded, space_words, staged, text_of, window_hashes
+from tallymark.llm.common import ascii_lower, bounded, released, space_words, staged, text_of, window_hashes
 
 PERCENT = 90
 WIDTH = 3
@@ -50,43 +50,44 @@ def least_overlap(n: Column, percent: int) -> Column:
     return F.ceil(percent * n / (100 + percent) - 1e-9).cast("bigint")
 
 
-def with_sets(documents: DataFrame, keep: list[str], width: int = WIDTH) -> DataFrame:
-    """`keep` and `set`: the distinct window hashes of each whole text."""
-    # bound to a variable, the words are split once wherever the optimizer repeats the expression
+def _of_words(keep: list[str], documents: DataFrame, what) -> DataFrame:
+    """`keep` and what(words) of each whole text. Bound to a variable, the words are split once wherever the optimizer
+    repeats the expression."""
     words = F.array(space_words(ascii_lower(text_of())))
-    of_words = lambda w: (
+    return documents.select(*keep, F.get(F.transform(words, what), F.lit(0)).alias("x"))
+
+
+def _set(w: Column, width: int) -> Column:
+    return (
         F.when(F.size(w) >= width, F.array_distinct(window_hashes(w, width)))
         .when(F.size(w) > 0, F.array(F.xxhash64(F.lit("short"), w)))
         .otherwise(F.array().cast("array<bigint>"))
     )
-    return documents.select(*keep, F.get(F.transform(words, of_words), F.lit(0)).alias("set"))
 
 
-def _xor(column: str, of) -> Column:
-    return F.aggregate(column, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseXOR(of(x)))
+def with_sets(documents: DataFrame, keep: list[str], width: int = WIDTH) -> DataFrame:
+    """`keep` and `set`: the distinct window hashes of each whole text."""
+    return _of_words(keep, documents, lambda w: _set(w, width)).withColumnRenamed("x", "set")
 
 
-def described(documents: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Per row: doc_id, n (size of the set), f1, f2 (which together tell sets apart)."""
-    return with_sets(documents, ["doc_id"], width).select(
-        "doc_id",
-        F.size("set").cast("bigint").alias("n"),
-        _xor("set", lambda x: x).alias("f1"),
-        _xor("set", lambda x: F.xxhash64(F.lit(1), x)).alias("f2"),
-    )
+def text_keys() -> tuple[Column, Column]:
+    """Two hashes that together tell texts apart; the first alone tells those of one id apart."""
+    return F.xxhash64(text_of()), F.xxhash64(F.lit("text"), text_of())
 
 
 def of_ids(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """id, key (of the text), text of the documents with these ids."""
-    rows = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), F.xxhash64(text_of()).alias("key"), "text")
+    rows = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), text_keys()[0].alias("key"), "text")
     return rows.join(bounded(ids.distinct(), IDS), "id", "left_semi")
 
 
-def prefixes(documents: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
-    """id, n, p1, p2 of every class: its first tokens under either order."""
+def prefixes(documents: DataFrame, classes: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame, tuple[DataFrame, ...]]:
+    """Of every class its size (id, key, n) and its first tokens under either order (id, n, p1, p2), and the latter's tables."""
     sets = with_sets(of_ids(documents, classes.select("id")), ["id", "key"], width)
     is_counted = lambda x: x.bitwiseAND(F.lit(COUNTED_MASK)) == 0
-    counted = staged(sets.select("id", F.size("set").cast("bigint").alias("n"), F.filter("set", is_counted).alias("counted"))).where("n > 0")
+    stored = staged(sets.select("id", "key", F.size("set").cast("bigint").alias("n"), F.filter("set", is_counted).alias("counted")))
+    sizes = staged(stored.select("id", "key", "n").distinct())
+    counted = stored.where("n > 0")
     tokens = counted.select("id", F.explode("counted").alias("token"))
     frequent = bounded(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > RARE), IDS)
     held = tokens.join(frequent, "token").groupBy("id").agg(F.collect_set("token").alias("frequent"))
@@ -104,6 +105,7 @@ def prefixes(documents: DataFrame, classes: DataFrame, percent: int, width: int)
             F.when(rich, F.transform(F.slice(F.sort_array(second), F.lit(1), m), lambda s: s["x"])).alias("p2"),
         )
     )
+    released(stored)
     # documents with too few rare tokens in the counted part: the rest is counted among these documents alone
     whole = staged(
         with_sets(of_ids(documents, split.where("p1 IS NULL").select("id")), ["id", "key"], width)
@@ -128,7 +130,9 @@ def prefixes(documents: DataFrame, classes: DataFrame, percent: int, width: int)
         ordered(lambda x: [x["df"]]).alias("p1"),
         ordered(lambda x: [F.floor(F.log2(x["df"] + 1)), F.xxhash64(F.lit(2), x["token"])]).alias("p2"),
     )
-    return split.where("p1 IS NOT NULL").unionByName(staged(poor))
+    poor = staged(poor)
+    released(whole)
+    return sizes, split.where("p1 IS NOT NULL").unionByName(poor), (split, poor)
 
 
 def _room(i: Column, j: Column, a: Column, b: Column) -> Column:
@@ -153,24 +157,43 @@ def paired(left: DataFrame, right: DataFrame, percent: int, among: Column) -> Da
     return left.alias("x").join(right.alias("y"), match).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def verified(documents: DataFrame, records: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
-    """Of the pairs, those that share a prefix token under the second order and link."""
-    second = records.select("id", "p2")
-    kept = staged(
+def verified(documents: DataFrame, records: DataFrame, pairs: DataFrame, percent: int, width: int, done: tuple[DataFrame, ...]) -> DataFrame:
+    """Of the pairs, those that share a prefix token under the second order and link. `done` is not read afterwards.
+
+    Before whole sets are sent, 16 bits of each token bound the intersection from above: it cannot exceed the distinct
+    values shared plus the tokens that either set loses by equal values.
+    """
+    pairs = staged(pairs)
+    ids = pairs.select("a").union(pairs.select("b")).toDF("id").distinct()
+    second = staged(records.select("id", "p2").join(bounded(ids, IDS), "id", "left_semi"))
+    released(*done)
+    near = staged(
         pairs.join(second.withColumnsRenamed({"id": "a", "p2": "pa"}), "a")
         .join(second.withColumnsRenamed({"id": "b", "p2": "pb"}), "b")
         .where(F.arrays_overlap("pa", "pb"))
         .select("a", "b")
         .distinct()
     )
-    sets = sets_of(documents, kept.select("a").union(kept.select("b")).toDF("id"), width)
+    released(pairs, second)
+    sets = sets_of(documents, near.select("a").union(near.select("b")).toDF("id"), width)
+    low = F.array_distinct(F.transform("set", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("smallint")))
+    short = staged(sets.select("id", F.size("set").alias("n"), low.alias("low")))
+    one = lambda side: short.select(*[F.col(c).alias(c + side if c != "id" else side) for c in ("id", "n", "low")])
+    most = F.size(F.array_intersect("lowa", "lowb")) + F.least(F.col("na") - F.size("lowa"), F.col("nb") - F.size("lowb"))
+    close = staged(
+        near.join(one("a"), "a").join(one("b"), "b").where(100 * most >= percent * (F.col("na") + F.col("nb") - most)).select("a", "b").distinct()
+    )
+    released(near, short)
     shared = F.size(F.array_intersect("sa", "sb"))
-    return (
-        kept.join(sets.withColumnsRenamed({"id": "a", "set": "sa"}), "a")
+    linked = staged(
+        close.join(sets.withColumnsRenamed({"id": "a", "set": "sa"}), "a")
         .join(sets.withColumnsRenamed({"id": "b", "set": "sb"}), "b")
         .where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared))
         .select("a", "b")
+        .distinct()
     )
+    released(close, sets)
+    return linked
 
 
 def sets_of(documents: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -196,6 +219,7 @@ def near_pivots(documents: DataFrame, pivots: DataFrame, percent: int, width: in
             F.concat(F.array_except("set", "ps"), F.array_except("ps", "set")).alias("d"),
         )
     )
+    released(sets)
     p, q = 100 - percent, 100 + percent
     weight = (q * F.size("d") - p * F.col("n")).cast("bigint")
     weighed = far.select("id", "pivot", weight.alias("weight"))
@@ -237,10 +261,12 @@ def near_pivots(documents: DataFrame, pivots: DataFrame, percent: int, width: in
         .where(q * apart <= p * (F.col("na") + F.col("nb")))
         .select("a", "b")
     )
-    return star.unionByName(linked)
+    found = staged(star.unionByName(linked))
+    released(far)
+    return found
 
 
-def links(documents: DataFrame, records: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+def links(documents: DataFrame, records: DataFrame, percent: int, width: int, done: tuple[DataFrame, ...]) -> DataFrame:
     """Pairs (a, b) of linked class ids; of links inside a crowd of near copies only as many as connect it."""
     postings = records.select("id", "n", F.posexplode("p1").alias("at", "token"))
     long = bounded(postings.groupBy("token").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") > LONG).select("token"), IDS)
@@ -263,7 +289,7 @@ def links(documents: DataFrame, records: DataFrame, percent: int = PERCENT, widt
     unusual = entries.join(usual, "token").where("pivot <> usual").drop("usual")
     across = paired(unusual, entries, percent, F.col("x.pivot") != F.col("y.pivot"))
     crowd = near_pivots(documents, entries.select("id", "pivot"), percent, width)
-    return verified(documents, records, found.unionByName(across).distinct(), percent, width).unionByName(crowd).distinct()
+    return verified(documents, records, found.unionByName(across).distinct(), percent, width, (*done, entries)).unionByName(crowd).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -286,24 +312,22 @@ def components(edges: DataFrame) -> DataFrame:
 
 def grouped(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """Every row's doc_id, n_shingles and component_id."""
-    rows = staged(described(documents, width))
-    named = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = staged(named.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id")))
-    records = prefixes(documents, classes, percent, width)
+    f1, f2 = text_keys()
+    rows = staged(documents.where("doc_id IS NOT NULL").select("doc_id", f1.alias("f1"), f2.alias("f2")))
+    classes = staged(rows.groupBy("f1", "f2").agg(F.min("doc_id").alias("id")))
+    sizes, records, done = prefixes(documents, classes, percent, width)
+    sized = staged(classes.join(sizes.withColumnRenamed("key", "f1"), ["id", "f1"]))
+    joined = links(documents, records, percent, width, done)
     # an id with several texts is one node of several classes
-    several = named.join(classes, ["n", "f1", "f2"]).where(F.col("doc_id") != F.col("id")).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    reused = (
-        named.groupBy(F.col("doc_id").alias("b"))
-        .agg(F.min(F.struct("n", "f1", "f2")).alias("low"), F.max(F.struct("n", "f1", "f2")).alias("high"))
-        .where("low <> high")
-    )
-    joined = links(documents, records, percent, width).unionByName(several.join(reused, "b", "left_semi").select("a", "b").distinct())
-    found = components(joined)
-    by_class = classes.join(found, "id", "left").select("n", "f1", "f2", F.coalesce("component", "id").alias("component"))
-    final = rows.select("doc_id", "n", "f1", "f2").join(
-        by_class, [*[rows[c] == by_class[c] for c in ("n", "f1", "f2")], rows["doc_id"].isNotNull()], "left"
-    )
-    return final.select("doc_id", rows["n"].alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    reused = rows.groupBy(F.col("doc_id").alias("b")).agg(F.min(F.struct("f1", "f2")).alias("low"), F.max(F.struct("f1", "f2")).alias("high"))
+    several = rows.join(sized.where("n > 0"), ["f1", "f2"]).where(F.col("doc_id") != F.col("id")).select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    found = components(joined.unionByName(several.join(reused.where("low <> high"), "b", "left_semi").select("a", "b").distinct()))
+    by_class = sized.join(found, "id", "left").select("f1", "f2", "n", F.when(F.col("n") > 0, F.coalesce("component", "id")).alias("component"))
+    named = rows.join(by_class, ["f1", "f2"]).join(found.withColumnsRenamed({"id": "doc_id", "component": "own"}), "doc_id", "left")
+    nameless = with_sets(documents.where("doc_id IS NULL"), ["doc_id"], width)
+    return named.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("own"), F.col("doc_id")).alias("component_id")
+    ).unionByName(nameless.select("doc_id", F.size("set").cast("bigint").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def one_of_each(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
