@@ -50,9 +50,13 @@ def _masked(line: Column) -> Column:
 def lines(documents: DataFrame) -> DataFrame:
     """id, key (of the text), at, n (tokens), leaf and line (hashes, two of each line), masked, of every line with a token."""
     rows = documents.select(F.col("doc_id").alias("id"), F.xxhash64(text_of()).alias("key"), F.posexplode(F.split(text_of(), "\n")).alias("at", "line"))
-    rows = rows.select("id", "key", "at", _masked(F.btrim("line", F.lit(SPACE))).alias("masked")).where("masked <> ''")
+    rows = rows.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))  # on the line itself: a filter on what follows would repeat it
+    rows = rows.select("id", "key", "at", _masked(F.btrim("line", F.lit(SPACE))).alias("masked"))
     # single spaces between tokens; then the number of tokens needs no array of them
-    single = F.when(F.col("masked").rlike(r"[\x09-\x0D]|\x20\x20"), F.regexp_replace("masked", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("masked"))
+    odd = F.lit(False)
+    for pair in ("  ", *SPACE[1:]):
+        odd = odd | F.col("masked").contains(pair)
+    single = F.when(odd, F.regexp_replace("masked", r"[\x20\x09-\x0D]+", " ")).otherwise(F.col("masked"))
     rows = rows.select("id", "key", "at", single.alias("masked"))
     spaces = F.length("masked") - F.length(F.replace(F.col("masked"), F.lit(" "), F.lit("")))
     return rows.select(
@@ -67,12 +71,12 @@ def lines(documents: DataFrame) -> DataFrame:
     )
 
 
-def generalised(rows: DataFrame) -> DataFrame:
-    """l1, l2, template (hash) of the distinct lines whose template has variable fields."""
-    long = rows.where(F.col("n") >= LEAST_TOKENS)
-    distinct = long.groupBy("leaf", "l1", "l2").agg(F.count(F.lit(1)).alias("copies"))
+def generalised(documents: DataFrame, hashes: DataFrame) -> DataFrame:
+    """l1, l2, template (hash) of the distinct lines whose template has variable fields. `hashes`: lines without `masked`."""
+    distinct = hashes.where(F.col("n") >= LEAST_TOKENS).select("leaf", "l1", "l2").distinct()
     several = bounded(distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), LEAVES)
-    texts = staged(long.join(several, "leaf").groupBy("leaf", "size", "l1", "l2").agg(F.first("masked").alias("masked")))
+    rows = lines(documents).select("leaf", "l1", "l2", "masked").join(several, "leaf")
+    texts = staged(rows.groupBy("leaf", "size", "l1", "l2").agg(F.first("masked").alias("masked")))
     tokens = texts.select("leaf", "size", "l1", "l2", F.posexplode(_tokens(F.col("masked"))).alias("at", "token")).where(F.col("at") >= DEPTH)
     shares = tokens.groupBy("leaf", "size", "at", "token").agg(F.count(F.lit(1)).alias("lines"))
     fields = (
@@ -96,8 +100,8 @@ def generalised(rows: DataFrame) -> DataFrame:
 
 def recurring(documents: DataFrame, texts: int = TEXTS) -> DataFrame:
     """id, key, at of every line to be dropped."""
-    rows = lines(documents)
-    templates = bounded(generalised(rows), LEAVES)
+    rows = staged(lines(documents).drop("masked"))
+    templates = bounded(generalised(documents, rows), LEAVES)
     found = staged(
         rows.select("id", "key", "at", "l1", "l2")
         .join(templates.withColumnsRenamed({"l1": "t1", "l2": "t2"}), (F.col("l1") == F.col("t1")) & (F.col("l2") == F.col("t2")), "left")
