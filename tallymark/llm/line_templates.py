@@ -32,7 +32,7 @@ KEPT = 0.5
 #: Shorter lines are not generalised.
 LEAST_TOKENS = 8
 #: Different texts a template must occur in.
-TEXTS = 3
+TEXTS = 2
 MARK = "<*>"
 #: Rows of a table of leaves or lines (hashes) that may be broadcast; beyond, joins shuffle.
 LEAVES = 400_000

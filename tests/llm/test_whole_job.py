@@ -1,7 +1,7 @@
 """What the operators must not leave out: one test for each loss once found."""
 
 import corpus_pipeline
-from tallymark.llm import jaccard_join
+from tallymark.llm import jaccard_join, line_templates
 
 
 def test_near_duplicate_stage_links_five_word_sets_from_eighty_percent(spark):
@@ -12,3 +12,10 @@ def test_near_duplicate_stage_links_five_word_sets_from_eighty_percent(spark):
     assert jaccard_join.one_of_each(docs).count() == 3
     left = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, "")
     assert sorted(r["doc_id"] for r in left.collect()) == [1, 3]
+
+
+def test_long_line_in_two_different_documents_stays_in_the_first_only(spark):
+    line = " ".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"one text\n{line}"), (2, f"{line}\nthe other text")], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_templates.deduplicated(docs).collect()}
+    assert got == {1: f"one text\n{line}", 2: "the other text"}
