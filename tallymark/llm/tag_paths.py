@@ -2,9 +2,10 @@
 
 Per page, the text of every root-to-leaf tag path is summed up: characters and punctuation per text node. Both ratios are
 smoothed over neighbouring paths in page order, fused by their geometric mean, and paths above a threshold are content.
-The content paths name the article's container: a marked one (article, main) if they lie in one, else the deepest element
-under which most of their text lies. The text is that of the container's blocks, short ones included, without elements
-that are navigation, notices, adverts, forms or comments by their tag, role or name.
+The content paths name the article's container: the marked ones (article, main) if one of them holds most of their text,
+else the smallest element with all their text and the page's main heading. The text is that of the container's blocks,
+short ones included, without elements that are navigation, notices, adverts, forms or comments by their tag, role or name.
+A name or a form does not take away the element that holds most of the content: see `spared`.
 
 Pages are handled in their own rows; the memory needed is that of one page.
 
@@ -25,8 +26,10 @@ from pyspark.sql import DataFrame
 
 #: Spread that must be exceeded, as a share of the standard deviation of the fused ratios.
 THRESHOLD = 0.5
-#: Share of the content's characters a container must hold.
-HOLDS = 0.8
+#: Share of the content's characters that must be exceeded to hold most of it.
+MOST = 0.5
+#: With less of the content left than this share, elements named outright as something else are taken for the article's.
+LEFT = 0.1
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
@@ -45,6 +48,9 @@ DROPPED_NAMES = frozenset(
     " gdpr login modal newsletter pager pagination popup promo promotion recommended related replies respond share sharing signin signup"
     " skip social sponsor sponsored subscribe subscription teaser toolbar".split()
 )
+#: Words that may stand beside those above in the name of such an element itself; with any other ("has-comments",
+#: "comments-open") the name may be that of something around an article.
+BESIDE = frozenset("area bar block box container content form inner item items list section the thread wrap wrapper".split())
 #: Opening one of these ends an open paragraph.
 ENDS_PARAGRAPH = BLOCKS - {"br", "body", "html"}
 #: An element that ends an open one of its own kind, up to the container named.
@@ -53,7 +59,7 @@ PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "main", "holds_main")
+    __slots__ = ("tag", "parent", "path", "dropped", "outright", "main", "holds_main")
 
     def __init__(self, tag: str, parent: Node | None, attrs: list[tuple[str, str | None]]):
         self.tag, self.parent = tag, parent
@@ -62,15 +68,19 @@ class Node:
         self.path = (parent.path if parent else "") + "/" + tag + "".join("." + n for n in names)
         self.main = tag in MAIN or named.get("role") == "main" or named.get("itemprop") == "articleBody"
         self.holds_main = False
-        parts = {
-            part
+        whole = [
+            {part for part in re.split(r"[-_\s]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if part}
             for name in ([*names, named.get("id", "")] if tag not in ("body", "html") else ())
-            for part in re.split(r"[-_\s]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())
-        }
+        ]
+        parts = set().union(*whole)
+        role = named.get("role", "")
         hidden = "hidden" in named or named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "")
-        #: 2: always; 1: unless a marked container lies inside
-        always = tag in DROPPED or hidden or named.get("role", "") in DROPPED_ROLES or parts & DROPPED_NAMES
-        self.dropped = 2 if always else 1 if parts & LAYOUT_NAMES or tag == "header" else 0
+        form = tag == "form" or role == "form"
+        #: 3: always; 2: by a name or as a form; 1: unless a marked container lies inside. 2 and 1 can be spared.
+        self.dropped = 3 if (tag in DROPPED or hidden or role in DROPPED_ROLES) and not (form and not hidden) else 0
+        self.dropped = self.dropped or (2 if form or parts & DROPPED_NAMES else 1 if parts & LAYOUT_NAMES or tag == "header" else 0)
+        #: One of the names says nothing else.
+        self.outright = any(x & (DROPPED_NAMES | LAYOUT_NAMES) and x <= DROPPED_NAMES | LAYOUT_NAMES | BESIDE for x in whole)
         if self.main and not self.dropped:
             up = parent
             while up and not up.holds_main:
@@ -131,10 +141,17 @@ class Page(HTMLParser):
         pass
 
 
-def kept(node: Node) -> bool:
+def up(node: Node):
+    """The element and those around it."""
+    while node.parent is not None:
+        yield node
+        node = node.parent
+
+
+def kept(node: Node, saved: set[Node]) -> bool:
     """No element from here up to the root is dropped. Site headers go; an article's own header stays."""
     while node.parent is not None:
-        if node.dropped == 2 or node.dropped == 1 and not node.holds_main:
+        if node.dropped == 3 or node not in saved and (node.dropped == 2 or node.dropped == 1 and not node.holds_main):
             if not (node.tag == "header" and node.dropped == 1 and under_main(node)):
                 return False
         node = node.parent
@@ -173,39 +190,74 @@ def content_paths(ratios: dict[str, float], threshold: float = THRESHOLD) -> set
     return {p for p, x in ratios.items() if x >= threshold * spread}
 
 
+def content_of(texts: list[tuple[Node, str, int]]) -> list[tuple[Node, int]]:
+    """Element and characters of the text nodes on content paths."""
+    content = content_paths(fused_ratios(texts))
+    return [(node, len(text.strip())) for node, text, _ in texts if node.path in content]
+
+
+def holders(chosen: list[tuple[Node, int]]) -> set[Node]:
+    """Elements that could be dropped by name or as a form, but hold most of the content."""
+    under: dict[Node, int] = defaultdict(int)
+    for node, size in chosen:
+        for x in up(node):
+            if x.dropped in (1, 2):
+                under[x] += size
+    total = sum(size for _, size in chosen)
+    return {x for x, size in under.items() if size > MOST * total}
+
+
+def spared(texts: list[tuple[Node, str, int]]) -> set[Node]:
+    """Elements that stay whatever their name: those that hold most of the content.
+
+    The content of elements whose name says only what they are (a long thread of comments) does not count, unless without
+    them hardly any content and no marked container is left; then they stay.
+    """
+    if not any(x.dropped for node in {t[0] for t in texts} for x in up(node)):
+        return set()
+    texts = [t for t in texts if not any(x.dropped == 3 for x in up(t[0]))]
+    rest = [t for t in texts if not any(x.outright and x.dropped for x in up(t[0]))]
+    all_content, content = content_of(texts), content_of(rest)
+    if sum(size for _, size in content) < LEFT * sum(size for _, size in all_content) and not any(x.main for node, _ in content for x in up(node)):
+        return holders(all_content)
+    return holders(content)
+
+
 def container(texts: list[tuple[Node, str, int]], content: set[str]) -> set[Node]:
     """The elements whose text is the article's."""
     chosen = [(node, len(text)) for node, text, _ in texts if node.path in content] or [(node, len(text)) for node, text, _ in texts]
     marked: dict[Node, int] = defaultdict(int)
-    under: dict[Node, int] = defaultdict(int)
     total = 0
     for node, size in chosen:
         total += size
         outermost = None
-        while node.parent is not None:
-            under[node] += size
-            if node.main:
-                outermost = node
-            node = node.parent
-        under[node] += size
+        for x in up(node):
+            if x.main:
+                outermost = x
         if outermost is not None:
             marked[outermost] += size
-    if marked:
+    if marked and max(marked.values()) > MOST * total:
         return set(marked)
-    depth = lambda node: node.path.count("/")
-    return {max((n for n, size in under.items() if size >= HOLDS * total), key=depth)}
+    nodes = dict.fromkeys([node for node, _ in chosen] + [node for node, _, _ in texts if "h1" in {x.tag for x in up(node)}])
+    under: dict[Node, int] = defaultdict(int)
+    for node in nodes:
+        while node is not None:
+            under[node] += 1
+            node = node.parent
+    return {max((x for x, n in under.items() if n == len(nodes)), key=lambda x: sum(1 for _ in up(x)))}
 
 
 def main_text(html: str | None) -> str:
     page = Page()
     page.feed(html or "")
     page.close()
+    saved = spared(page.texts)
     seen: dict[Node, bool] = {}
     texts = []
     for item in page.texts:
         node = item[0]
         if node not in seen:
-            seen[node] = kept(node)
+            seen[node] = kept(node, saved)
         if seen[node]:
             texts.append(item)
     if not texts:
@@ -215,10 +267,10 @@ def main_text(html: str | None) -> str:
     blocks: dict[int, list[str]] = {}
     for node, text, block in texts:
         if node not in inside:
-            up = node
-            while up is not None and up not in roots:
-                up = up.parent
-            inside[node] = up is not None
+            around = node
+            while around is not None and around not in roots:
+                around = around.parent
+            inside[node] = around is not None
         if inside[node]:
             blocks.setdefault(block, []).append(text)
     return " ".join(" ".join(" ".join("".join(parts).split()) for parts in blocks.values()).split())

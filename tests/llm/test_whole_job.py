@@ -1,7 +1,9 @@
 """What the operators must not leave out: one test for each loss once found."""
 
+import pytest
+
 import corpus_pipeline
-from tallymark.llm import jaccard_join, line_templates
+from tallymark.llm import jaccard_join, line_templates, tag_paths
 
 
 def test_near_duplicate_stage_links_five_word_sets_from_eighty_percent(spark):
@@ -19,3 +21,30 @@ def test_long_line_in_two_different_documents_stays_in_the_first_only(spark):
     docs = spark.createDataFrame([(1, f"one text\n{line}"), (2, f"{line}\nthe other text")], "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in line_templates.deduplicated(docs).collect()}
     assert got == {1: f"one text\n{line}", 2: "the other text"}
+
+
+STORY = "".join(f"<p>Sentence {i}, which is part of the story, has some words.</p>" for i in range(9))
+TOLD = " ".join(f"Sentence {i}, which is part of the story, has some words." for i in range(9))
+CARD = "<article class=card><p>A teaser, for another story.</p></article>"
+THREAD = "<section class=comments>" + "<article><p>Nice post, thanks a lot, really, and so on.</p></article>" * 40 + "</section>"
+
+
+@pytest.mark.parametrize(
+    "html, start",
+    [
+        (f"<div><h1>Title</h1><div>{STORY}</div></div><div>{CARD * 3}</div>", "Title " + TOLD),
+        (f"<h1>Title</h1><p class=lead>The lead, in short.</p><div class=body>{STORY}</div>", "Title The lead, in short. " + TOLD),
+        (f"<article class='post comments-open'>{STORY}</article>{THREAD}", TOLD),
+        (f"<div class='page has-comments'>{STORY}{THREAD}</div>", TOLD),
+        (f"<form>{STORY}</form>", TOLD),
+        (f"<div class=with-sidebar>{STORY}<div class=sidebar>Side, bar.</div></div>", TOLD),
+    ],
+)
+def test_main_text_keeps_the_whole_story(html, start):
+    text = tag_paths.main_text(f"<html><body><nav><a>Menu</a></nav>{html}</body></html>")
+    assert text.startswith(start) and "Menu" not in text and "Nice post" not in text and "Side, bar" not in text
+
+
+def test_named_threads_and_cards_beside_an_article_still_go():
+    card = "<div class=related-posts><article><p>Another story, in short.</p></article></div>"
+    assert tag_paths.main_text(f"<body><article>{STORY[:120]}</p></article>{card}{THREAD}</body>").count("story") == STORY[:120].count("story")
