@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import host_rules, jaccard_join, license_join, line_templates, mixing, ordinal, packing, reply_trees, sql, tag_paths, topk
+from tallymark.llm import (
+    hamming_join,
+    host_rules,
+    importance,
+    jaccard_join,
+    license_join,
+    line_templates,
+    mixing,
+    ordinal,
+    packing,
+    prefix_trie,
+    reply_trees,
+    sql,
+    tag_paths,
+    topk,
+)
 from tallymark.llm.common import table
 
 
@@ -111,6 +126,18 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_join.grouped(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_line_templates": op2_line_templates,
@@ -122,6 +149,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": op8_main_text,
     "op9_topk": op9_topk,
     "op10_toxicity": op10_toxicity,
+    "op11_importance": op11_importance,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_minhash": op13_minhash,
 }
 
 #: None for op2, op4, op8 and op10: tests/llm holds these against plain code, round trips and held-out labels.
@@ -132,4 +162,7 @@ SQL: dict[str, str] = {
     "op6_ngram_jaccard": sql.OP6,
     "op7_reply_trees": sql.op7(CONTROLS_INSIDE, reply_trees.BEGIN, reply_trees.END),
     "op9_topk": sql.OP9,
+    "op11_importance": sql.OP11,
+    "op12_prefix_trie": sql.OP12,
+    "op13_minhash": sql.OP13,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallymark.llm import host_rules, jaccard_join, license_join, mixing, topk
+from tallymark.llm import hamming_join, host_rules, importance, jaccard_join, license_join, mixing, prefix_trie, topk
 
 _ASCII = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE_WORDS = r"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -115,3 +115,68 @@ s AS (SELECT q.vec_id query_id, c.vec_id, list_sum(list_transform(range(1, len(q
 SELECT query_id, rank, vec_id, score FROM
   (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM s) WHERE rank <= {topk.K}
 """
+
+#: The table of CRC-32 by a byte, made from its polynomial, and the checksum of the bytes of a text column.
+_CRC_TABLE = """crc AS (SELECT list(v ORDER BY i) t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+  lambda a, e: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) v FROM range(256) r(i)))"""
+_BYTES = "list_transform(range(strlen({s})), lambda i: ('0x' || substr(hex({s}), 2 * i + 1, 2))::BIGINT)"
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, " + _BYTES + "), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)"
+
+_FEATURES = """SELECT {id} id, array_to_string(list_slice(w, i, i + k - 1), ' ') f, len(w) n
+  FROM (SELECT {id}, w, k, unnest(range(1, len(w) - k + 2)) i FROM {words}, range(1, {longest}) r(k))"""
+_GUMBEL = "floor(-1000 * ln(-ln((('0x' || substr(sha256('{seed}:' || doc_id), 1, 8))::BIGINT + 0.5) / 4294967296.0)))::BIGINT"
+OP11 = f"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, {_WORDS.format(text=_ASCII)} w FROM documents),
+b AS (SELECT item_id, {_WORDS.format(text=_ASCII)} w FROM benchmark),
+df AS ({_FEATURES.format(id="doc_id", words="d", longest=importance.LONGEST + 1)}),
+bf AS ({_FEATURES.format(id="item_id", words="b", longest=importance.LONGEST + 1)}),
+names AS (SELECT DISTINCT f FROM (SELECT f FROM df UNION ALL SELECT f FROM bf)),
+bucket AS (SELECT f, {_CRC.format(s="f")} % {importance.BUCKETS} bucket FROM names, crc),
+s AS (SELECT bucket, count(*) s FROM df JOIN bucket USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) t FROM bf JOIN bucket USING (f) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(s), 0)::DOUBLE FROM s) big_s, (SELECT coalesce(sum(t), 0)::DOUBLE FROM t) big_t),
+gains AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (big_s + {importance.BUCKETS})
+            / ((coalesce(s, 0)::DOUBLE + 1) * (big_t + {importance.BUCKETS}))))::BIGINT gain
+          FROM (SELECT range bucket FROM range({importance.BUCKETS})) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), sums),
+weights AS (SELECT id doc_id, count(*) n_features, sum(gain)::BIGINT weight FROM df JOIN bucket USING (f) JOIN gains USING (bucket) GROUP BY id),
+scores AS (SELECT d.doc_id, len(w)::BIGINT n_words, coalesce(n_features, 0)::BIGINT n_features, coalesce(weight, 0)::BIGINT weight,
+             coalesce(weight, 0)::BIGINT + {_GUMBEL.format(seed=importance.SEED)} score FROM d LEFT JOIN weights USING (doc_id)),
+placed AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) place, count(*) OVER () n FROM scores WHERE n_words >= {importance.LEAST_WORDS})
+SELECT scores.doc_id, n_words, n_features, weight, score, CASE WHEN place <= {importance.PERCENT} * n // 100 THEN place END AS rank
+FROM scores LEFT JOIN placed USING (doc_id)
+"""
+
+OP12 = f"""
+WITH {_CRC_TABLE},
+conv AS (SELECT conv_id c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) own
+         FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+named AS (SELECT c, own, c::VARCHAR s FROM conv),
+cut AS (SELECT c, own, {_CRC.format(s="s")} % {prefix_trie.MOST_TURNS} h FROM named, crc),
+built AS (SELECT a.c, list_concat(coalesce(list_slice(b.own, 1, h), []), list_slice(a.own, h + 1, len(a.own))) p
+          FROM cut a LEFT JOIN conv b ON b.c = a.c - a.c % {prefix_trie.FAMILY}),
+pre AS (SELECT c, d, len(p) = d ends, list_slice(p, 1, d) n FROM (SELECT c, p, unnest(range(len(p) + 1)) d FROM built)),
+node AS (SELECT n, d, min(c) conv_id, count(*) n_convs, coalesce(array_to_string(list_sort(list(c) FILTER (ends)), ','), '') ids,
+           CASE WHEN d > 0 THEN (count(*) - 1) * strlen(n[d].t) ELSE 0 END own FROM pre GROUP BY n, d),
+child AS (SELECT list_slice(n, 1, d - 1) n, count(*) k FROM node WHERE d > 0 GROUP BY 1),
+known AS (SELECT node.*, coalesce(k, 0) k FROM node LEFT JOIN child USING (n)),
+total AS (SELECT list_slice(n, 1, a) n, sum(own) saved, count(*) FILTER (k = 0) leaves
+          FROM (SELECT n, own, k, unnest(range(d + 1)) a FROM known) GROUP BY 1)
+SELECT x.conv_id, x.d depth, p.conv_id parent_conv_id, x.n_convs, x.k n_children, leaves n_leaves, saved::BIGINT saved_tokens, sha256(x.ids) ends_sha256
+FROM known x JOIN total ON total.n = x.n LEFT JOIN node p ON x.d > 0 AND p.n = list_slice(x.n, 1, x.d - 1)
+"""
+
+OP13 = (
+    rf"""
+WITH RECURSIVE w AS (SELECT doc_id, {_SPACE_WORDS.format(text=_ASCII)} w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {hamming_join.WIDTH - 1}), ' ') x
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {hamming_join.WIDTH - 2}, 2))) i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id a, b.doc_id b, count(*) c FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM shared JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= {hamming_join.PERCENT} * (p.n + q.n - c)),
+reach(id, other) AS (SELECT a, b FROM links UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.other = links.a),
+found AS (SELECT w.doc_id, coalesce(n.n, 0)::BIGINT n_shingles, least(w.doc_id, coalesce(r.other, w.doc_id)) component_id
+          FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT id, min(other) other FROM reach GROUP BY id) r ON r.id = w.doc_id)
+SELECT *, doc_id = component_id AS kept FROM found
+"""
+)
