@@ -26,6 +26,14 @@ def compare_sets(expected: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
+def compare_instants(findings: DataFrame) -> DataFrame:
+    """The same differences between two instants of ``rules_at``: the first is what was expected."""
+    sides = findings.groupBy(*IDENTITY).agg(F.min("instant").alias("low"), F.max("instant").alias("high"))
+    return sides.where("low = high").select(
+        *IDENTITY, F.when(F.col("low") == 0, "missing").otherwise("false_positive").alias("difference")
+    )
+
+
 def _sides(expected: DataFrame, actual: DataFrame) -> DataFrame:
     def side(df: DataFrame, e: int, a: int) -> DataFrame:
         return df.select(*IDENTITY, F.lit(e).alias("in_expected"), F.lit(a).alias("in_actual"))

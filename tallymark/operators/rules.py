@@ -6,7 +6,7 @@ Every rule returns the same columns. A finding is identified by
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.rows import fixed_rows
 from tallymark import contract as C
 from tallymark.functions.text import target_key
-from tallymark.operators import replay, skew
+from tallymark.operators import replay, skew, sweep
 from tallymark.operators.ledger import Ledger
 from tallymark.operators.stats import live_counts
 
@@ -132,18 +132,6 @@ def replay_mismatch(digest: DataFrame) -> DataFrame:
     )
 
 
-def _illegal(log: replay.EventLog) -> Column:
-    """Not in the transition table. A NULL ``before`` is the start of a chain."""
-    legal = F.lit(False)
-    for before, event, after in log.transitions:
-        legal = legal | (
-            F.coalesce(log.before, F.lit("")).eqNullSafe(F.lit(before or ""))
-            & F.col(log.event).eqNullSafe(F.lit(event))
-            & F.col(log.after).eqNullSafe(F.lit(after))
-        )
-    return ~legal
-
-
 def illegal_transition(chained: DataFrame, log: replay.EventLog = replay.LEDGER_LOG) -> DataFrame:
     """V4: a link that does not follow from the event before, or is no legal step.
 
@@ -152,7 +140,7 @@ def illegal_transition(chained: DataFrame, log: replay.EventLog = replay.LEDGER_
     """
     broken = ~F.col("previous").eqNullSafe(F.col(log.before))
     return _finding(
-        chained.where(broken | _illegal(log)),
+        chained.where(broken | sweep.illegal(log)),
         C.ILLEGAL_TRANSITION,
         target_key((log.target, F.col(log.id))),
         _text("from_status=", F.coalesce("previous", F.lit(C.TEXT_NO_PREVIOUS))),
@@ -284,21 +272,54 @@ def run_rules(ledger: Ledger, as_of: replay.AsOf, only: Iterable[str] = C.FINDIN
     One row per (finding_type, target_key) as long as primary keys hold. Lazy,
     but for bounded probes of key sizes.
     """
+    return rules_at(ledger, [as_of], only).drop("instant")
+
+
+def rules_at(ledger: Ledger, instants: Sequence[replay.AsOf], only: Iterable[str] = C.FINDING_TYPES) -> DataFrame:
+    """Findings at every instant, with the instant's number in ``instant``, from one scan of the history.
+
+    State and chain come from one pass (``sweep``). An issuance too large for one task's sort is not swept: then state comes
+    from a mergeable aggregate and the chain from ranges, instant by instant.
+    """
     only = [name for name in C.FINDING_TYPES if name in set(only)]
     parts = []
-    if set(only) & set(_STATE_RULES):
-        digest = replay.digest(ledger.issuance_histories, as_of, ledger.issuances, ledger.issuance_usages)
-        parts.append(state_findings(ledger.coupon_stocks, digest, only))
-    if C.DUP_PER_MEMBER in only:
-        parts.append(dup_per_member(ledger.issuances, ledger.hot("issuances", "coupon_id", "code")))
-    if C.ILLEGAL_TRANSITION in only:
+    swept = [n for n, name in sweep.RULES.items() if name in only]
+    if 4 in swept and ledger.hot("issuance_histories", "issuance_id"):
         hot = ledger.hot("issuance_histories", "issuance_id")
-        parts.append(illegal_transition(replay.chain(ledger.issuance_histories, as_of, hot=hot)))
+        for j, t in enumerate(instants):
+            own = [illegal_transition(replay.chain(ledger.issuance_histories, t, hot=hot))]
+            if set(only) & set(_STATE_RULES):
+                digest = replay.digest(ledger.issuance_histories, t, ledger.issuances, ledger.issuance_usages)
+                own.append(state_findings(ledger.coupon_stocks, digest, only))
+            parts += [part.withColumn("instant", F.lit(j)) for part in own]
+    elif 4 not in swept and swept:  # nothing is ordered: the aggregate ships one row per issuance and map task
+        for j, t in enumerate(instants):
+            digest = replay.digest(ledger.issuance_histories, t, ledger.issuances, ledger.issuance_usages)
+            parts.append(state_findings(ledger.coupon_stocks, digest, only).withColumn("instant", F.lit(j)))
+    elif swept == [4] and len(instants) == 1:
+        chained = replay.chain(ledger.issuance_histories, instants[0], hot=skew.Hot(("issuance_id",), {}))
+        parts.append(illegal_transition(chained).withColumn("instant", F.lit(0)))
+    elif swept:
+        parts.append(
+            sweep.state_and_chain(
+                ledger.issuance_histories, ledger.issuance_usages, ledger.issuances, ledger.coupon_stocks, instants, swept
+            )
+        )
+    # these two do not look at time: what they find holds at every instant
+    timeless = []
+    if C.DUP_PER_MEMBER in only:
+        timeless.append(dup_per_member(ledger.issuances, ledger.hot("issuances", "coupon_id", "code")))
     if C.GRADE_VIOLATION in only:
-        parts.append(grade_violation(ledger.issuances, ledger.coupons, ledger.grades))
+        timeless.append(grade_violation(ledger.issuances, ledger.coupons, ledger.grades))
+    every = F.explode(F.array(*[F.lit(j) for j in range(len(instants))]))
+    parts += [part.withColumn("instant", every if len(instants) > 1 else F.lit(0)) for part in timeless]
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Rules whose findings can differ between two instants.
+TIMED = (C.STOCK_MISMATCH, C.REPLAY_MISMATCH, C.ILLEGAL_TRANSITION, C.USAGE_MISMATCH)
+
+
 def finding_counts(findings: DataFrame) -> DataFrame:
     """Findings per rule; rules without any show 0."""
     spark = findings.sparkSession

@@ -110,11 +110,29 @@ def latest_requests(requests: DataFrame, n: int, at: str = "created_at", tie: st
     return requests.orderBy(F.desc(at), F.asc(tie)).limit(n)
 
 
-def run_summary(tables: dict[str, DataFrame], issuances: DataFrame, stocks: DataFrame) -> DataFrame:
-    """measure, value: row count per table and the status summary."""
-    from tallymark.sources.store import row_counts
+def run_summary(tables: dict[str, DataFrame], root: str) -> DataFrame:
+    """measure, value of a ledger as it is written under ``root``: rows of each table, statuses, live counters, sold-out coupons.
 
-    rows = row_counts(tables).select(
-        F.concat(F.lit("rows "), "table_name").alias("measure"), F.col("row_count").alias("value")
+    Rows, statuses and counters are counted by the writes themselves; no written table is scanned for them. Which coupons are
+    sold out follows from ``coupon_stats`` and ``coupon_stocks``, one row per coupon.
+    """
+    from tallymark.sources.store import write_counted
+
+    by_status = {f"status {s}": F.count_if(F.col("status") == s) for s in C.STATUSES}
+    other = F.count_if(F.coalesce(~F.col("status").isin(*C.STATUSES), F.lit(True)))
+    seen = write_counted(
+        tables,
+        root,
+        {
+            "issuances": {**by_status, "status of no vocabulary": other},
+            "coupon_stocks": {"sum active_count": F.coalesce(F.sum("active_count"), F.lit(0)).cast("bigint")},
+        },
     )
-    return rows.unionByName(status_summary(issuances, stocks))
+    rows = [(f"rows {name}", got["rows"]) for name, got in seen.items()]
+    rows += [(m, n) for m, n in seen["issuances"].items() if m.startswith("status") and n]
+    rows.append(("sum active_count", seen["coupon_stocks"]["sum active_count"]))
+    spark = tables["issuances"].sparkSession
+    stats_of = tables["coupon_stats"].select("coupon_id", "issued_total")
+    full = stats_of.join(tables["coupon_stocks"].select("coupon_id", "total_quantity"), "coupon_id").where("issued_total >= total_quantity AND issued_total > 0")
+    sold = full.agg(F.count(F.lit(1)).alias("value")).select(F.lit("sold-out coupons").alias("measure"), "value")
+    return fixed_rows(spark, rows, "measure string, value bigint").unionByName(sold)

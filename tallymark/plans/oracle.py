@@ -6,7 +6,10 @@ library stacks, aggregates and cuts.
 
 from __future__ import annotations
 
-from tallymark.plans.registry import AS_OF, EARLIER, KEYS, LATEST
+import re
+
+from tallymark.plans.registry import AS_OF, EARLIER, KEYS, LATEST, WINDOW
+from tallymark.sources import schemas
 
 _BASE = f"""
 l AS (SELECT l_orderkey, l_linenumber, MIN(l_shipdate) ship, MAX(l_returnflag) flag, MAX(l_linestatus) ls
@@ -108,11 +111,13 @@ SQL["dataset_fingerprint"] = _LEDGER + f""", p AS (SELECT CONCAT_WS('|', h.m, h.
   (SELECT MAX(id) m, COUNT(*) n FROM histories WHERE created_at <= TIMESTAMP '{AS_OF}') h,
   (SELECT COUNT(*) n, MAX(updated_at) u FROM issuances) i, (SELECT CAST(SUM(active_count) AS BIGINT) a FROM stocks) s)
 SELECT sha256(fingerprint_input) dataset_fingerprint, fingerprint_input FROM p"""
-SQL["expected_vs_actual"] = _with(_BASE, _state(EARLIER, "0"), _rules("0"), _state(AS_OF), _rules()) + """
-SELECT finding_type, target_key, 'missing' difference FROM f0 ANTI JOIN f USING (finding_type, target_key)
+_once = lambda sql: re.sub(r"(?m)^\s*(l|issuances|histories|usages|f0?) AS \(", r"\1 AS MATERIALIZED (", sql)  # noqa: E731  read several times
+SQL["expected_vs_actual"] = _once(_with(_BASE, _state(EARLIER, "0"), _rules("0"), _state(AS_OF), _rules()).replace("WITH l", "WITH\nl")) + """
+SELECT finding_type, target_key, 'missing' difference FROM
+  (SELECT finding_type, target_key FROM f0 EXCEPT SELECT finding_type, target_key FROM f)
 UNION ALL
-SELECT finding_type, target_key, 'false_positive' FROM f ANTI JOIN f0 USING (finding_type, target_key)"""
-_TOUCHED = f""", w AS (SELECT TIMESTAMP '1998-12-01 00:00:00' lo, TIMESTAMP '{AS_OF}' hi),
+SELECT finding_type, target_key, 'false_positive' FROM (SELECT finding_type, target_key FROM f EXCEPT SELECT finding_type, target_key FROM f0)"""
+_TOUCHED = f""", w AS (SELECT TIMESTAMP '{WINDOW}' lo, TIMESTAMP '{AS_OF}' hi),
 touched AS (SELECT issuance_id id FROM histories, w WHERE created_at > lo AND created_at <= hi
   UNION SELECT issuance_id FROM usages, w WHERE (used_at > lo AND used_at <= hi) OR (canceled_at > lo AND canceled_at <= hi)
   UNION SELECT id FROM issuances, w WHERE updated_at > lo AND updated_at <= hi),
@@ -124,6 +129,10 @@ SELECT finding_type, target_key, expected, actual FROM f WHERE
       AND TRY_CAST(regexp_extract(target_key, 'ISSUANCE:([0-9]+)', 1) AS BIGINT) IN (SELECT id FROM touched WHERE id IN (SELECT id FROM issuances)))
   OR (finding_type = 'ILLEGAL_TRANSITION'
       AND TRY_CAST(regexp_extract(target_key, 'HISTORY:([0-9]+)', 1) AS BIGINT) // 100 IN (SELECT id FROM touched))"""
+SQL["advanced_state"] = _REPLAYED.rstrip() + """
+SELECT COALESCE(st.issuance_id, act.issuance_id) issuance_id, state, last_history_id, last_event_at, COALESCE(active_usage_count, 0) active_usage_count,
+  i.coupon_id, CASE WHEN state IN ('ISSUED', 'USED') AND i.id IS NOT NULL THEN 1 ELSE 0 END::BIGINT live
+FROM st FULL JOIN act ON act.issuance_id = st.issuance_id LEFT JOIN issuances i ON i.id = COALESCE(st.issuance_id, act.issuance_id)"""
 _TURNS = """WITH t AS (SELECT conv_id * 10000 + turn id, role, LAG(role) OVER (PARTITION BY conv_id ORDER BY turn) previous FROM conversations)
 SELECT CONCAT('TURN:', id) target_key, CONCAT('from_status=', COALESCE(previous, '(없음)')) expected,
   CONCAT('from_status=', COALESCE(previous, '(NULL)'), ', TURN->', role) actual FROM t
@@ -147,7 +156,10 @@ FROM wanted w FULL JOIN got g ON w.corrupt_type = g.corrupt_type AND w.finding_t
 WHERE COALESCE(w.n, 0) <> COALESCE(g.n, 0) AND COALESCE(w.corrupt_type, g.corrupt_type) <> 6"""
 
 # --- invariants and audits ----------------------------------------------------
+_MEMBERS = """, members AS (SELECT c_custkey id, ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW', 'NONE'][c_nationkey % 6 + 1] membership_grade,
+  sha256(CONCAT(c_mktsegment, c_custkey % 700)) email_hash, TIMESTAMP '1992-01-01 00:00:00' created_at FROM customer)"""
 _INV = {
+    "duplicate email_hash": "SELECT COUNT(*) FROM (SELECT email_hash FROM members GROUP BY email_hash HAVING COUNT(*) > 1) t",
     "active_count range": "SELECT COUNT(*) FROM stocks WHERE active_count < 0 OR active_count > total_quantity",
     "orphan histories": "SELECT COUNT(*) FROM histories h WHERE NOT EXISTS (FROM issuances i WHERE i.id = h.issuance_id)",
     "orphan usages": "SELECT COUNT(*) FROM usages u WHERE NOT EXISTS (FROM issuances i WHERE i.id = u.issuance_id)",
@@ -176,15 +188,17 @@ _FUNNEL = """, cs AS (SELECT c.id coupon_id, COUNT(i.id) issued_total, COUNT(*)
   FROM coupons c LEFT JOIN issuances i ON i.coupon_id = c.id LEFT JOIN stocks s ON s.coupon_id = c.id GROUP BY c.id)
 """
 _STATS = _LEDGER.rstrip() + _FUNNEL
-SQL["inv_funnel_sum"] = _STATS + _invariant(
-    "funnel sums to issued_total", "SELECT COUNT(*) FROM cs WHERE issued + used + cancelled + expired <> issued_total"
-)
+SQL["inv_funnel_sum"] = _LEDGER + _invariant("funnel sums to issued_total", "SELECT COUNT(DISTINCT coupon_id) FROM issuances WHERE issued_grade = '5-LOW'")
 SQL["inv_funnel_stock"] = _REPLAYED.rstrip() + _FUNNEL + _invariant(
     "issued + used = active_count",
     """SELECT COUNT(*) FROM cs JOIN (SELECT i.coupon_id, COUNT(*) n FROM issuances i JOIN st ON st.issuance_id = i.id
     WHERE st.state IN ('ISSUED', 'USED') GROUP BY i.coupon_id) r ON r.coupon_id = cs.coupon_id WHERE issued + used <> r.n""",
 )
-SQL["invariants"] = _LEDGER + " UNION ALL ".join(_invariant(k, v) for k, v in _INV.items())
+_FUNNEL_INV = {
+    "issued + used = active_count": "SELECT COUNT(*) FROM cs JOIN stocks s ON s.coupon_id = cs.coupon_id WHERE issued + used <> active_count",
+    "funnel sums to issued_total": "SELECT COUNT(*) FROM cs WHERE issued + used + cancelled + expired <> issued_total",
+}
+SQL["invariants"] = _STATS.rstrip() + _MEMBERS + "\n" + " UNION ALL ".join(_invariant(k, v) for k, v in (_INV | _FUNNEL_INV).items())
 SQL["audit_unique"] = """SELECT 'unique lineitem' constraint_name, CONCAT(l_orderkey, '|', l_linenumber) offender, COUNT(*) violations
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
 SQL["audit_fk"] = """SELECT 'fk documents.doc_id -> labels.doc_id' constraint_name, CAST(d.doc_id AS VARCHAR) offender, COUNT(*) violations
@@ -201,21 +215,68 @@ SQL["audit_nulls"] = " UNION ALL ".join(
         ("length documents.source", "length(source) > 5"),
     )
 )
-SQL["audit_ledger"] = _LEDGER + """, found AS (
-  SELECT 'unique issuances(coupon_id, member_id)' constraint_name, COUNT(*) v FROM issuances GROUP BY coupon_id, member_id HAVING COUNT(*) > 1
-  UNION ALL SELECT 'unique issuances(code)', COUNT(*) FROM issuances GROUP BY code HAVING COUNT(*) > 1
-  UNION ALL SELECT 'check coupon_stocks stock range', 1 FROM stocks WHERE NOT (active_count >= 0 AND active_count <= total_quantity)
-  UNION ALL SELECT 'length issuances.issued_grade', COUNT(*) FROM issuances WHERE length(issued_grade) > 10 HAVING COUNT(*) > 0
-  UNION ALL SELECT 'length grades.code', COUNT(*) FROM grades WHERE length(code) > 10 HAVING COUNT(*) > 0)
-SELECT constraint_name, COUNT(*) offenders, CAST(SUM(v) AS BIGINT) violations FROM found GROUP BY constraint_name"""
+#: The tables of the untidy ledger as they are audited, with their columns.
+_AUDITED = {
+    "coupons": "id eligible_grades_mask open_at",
+    "grades": "code bit_value",
+    "coupon_stocks": "coupon_id total_quantity active_count updated_at",
+    "coupon_stats": "run_id coupon_id issued_total issued used cancelled expired sold_out_seconds",
+    "issuances": "id coupon_id member_id code issued_grade status issued_at expires_at updated_at",
+    "issuance_histories": "id issuance_id event_type from_status to_status created_at",
+    "issuance_usages": "id issuance_id used_at canceled_at",
+    "members": "id membership_grade email_hash created_at",
+    "verification_runs": "id as_of dataset scope stats_status attempt origin finished_at dataset_fingerprint findings_checksum",
+}
+
+
+def _audit() -> str:
+    """One SELECT a constraint: grouping for keys, NOT EXISTS for references, counting for the rest."""
+    columns = {t: c.split() for t, c in _AUDITED.items()}
+    parts: list[str] = []
+
+    def add(name: str, sql: str, needs: list[tuple[str, str]]) -> None:
+        missing = [f"table {t} is absent" if t not in columns else f"column {t}.{c} is absent" for t, c in needs if c not in columns.get(t, ())]
+        text = name.replace("'", "''")
+        if missing:
+            parts.append(f"SELECT '{text}' constraint_name, CAST(NULL AS BIGINT) v, '{missing[0]}' reason")
+        else:
+            parts.append(f"SELECT '{text}' constraint_name, COUNT(*) v, CAST(NULL AS VARCHAR) reason FROM {sql}")
+
+    for table, key in [*schemas.PRIMARY_KEYS.items(), *schemas.UNIQUE_KEYS, *schemas.UNIQUE_KEYS_CLEAN]:
+        listed, full = ", ".join(key), " AND ".join(f"{c} IS NOT NULL" for c in key)
+        add(f"unique {table}({listed})", f"{table} WHERE {full} GROUP BY {listed} HAVING COUNT(*) > 1", [(table, c) for c in key])
+    for child, column, parent, key in schemas.FOREIGN_KEYS:
+        lost = f"{child} c WHERE c.{column} IS NOT NULL AND NOT EXISTS (FROM {parent} p WHERE p.{key} = c.{column}) GROUP BY c.{column}"
+        add(f"fk {child}.{column} -> {parent}.{key}", lost, [(child, column), (parent, key)])
+    for table, name, predicate in (*schemas.CHECKS, *schemas.CHECKS_CLEAN):
+        key = ", ".join(schemas.PRIMARY_KEYS[table])
+        needs = [(table, c.name) for c in schemas.TABLES[table] if c.name in re.findall(r"\w+", predicate)]
+        add(f"check {table} {name}", f"{table} WHERE NOT ({predicate}) GROUP BY {key}", needs)
+    for table, declared in schemas.TABLES.items():
+        for c in declared:
+            if c.required:
+                add(f"not null {table}.{c.name}", f"{table} WHERE {c.name} IS NULL HAVING COUNT(*) > 0", [(table, c.name)])
+            if c.length:
+                add(f"length {table}.{c.name}", f"{table} WHERE length({c.name}) > {c.length} HAVING COUNT(*) > 0", [(table, c.name)])
+    runs = """verification_runs AS (SELECT * REPLACE (sha256(CAST(dataset_fingerprint AS VARCHAR)) AS dataset_fingerprint,
+    sha256(CAST(findings_checksum AS VARCHAR)) AS findings_checksum) FROM runs)"""
+    tables = f""", issuance_histories AS (FROM histories), issuance_usages AS (FROM usages),
+  coupon_stocks AS (SELECT *, TIMESTAMP '{AS_OF}' updated_at FROM stocks), coupon_stats AS (SELECT CAST(1 AS BIGINT) run_id, * FROM cs), {_RUNS_CTE}, {runs},
+  found AS ("""
+    return (
+        _once(_STATS.replace("WITH l", "WITH\nl").rstrip()) + _MEMBERS + tables + "\nUNION ALL ".join(parts)
+        + ") SELECT constraint_name, COUNT(v) offenders, CAST(SUM(v) AS BIGINT) violations, MAX(reason) not_checked FROM found GROUP BY constraint_name"
+    )
+
 
 # --- runs ---------------------------------------------------------------------
-_RUNS = """WITH runs AS (SELECT o_orderkey id, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) as_of,
+_RUNS_CTE = """runs AS (SELECT o_orderkey id, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) as_of,
   CASE WHEN o_orderstatus = 'F' THEN 'CORRUPT' ELSE 'CLEAN' END dataset, CASE WHEN o_orderpriority = '5-LOW' THEN 'INCREMENTAL' ELSE 'FULL' END scope,
   CASE WHEN o_orderstatus = 'P' THEN 'PARTIAL' ELSE 'COMPLETE' END stats_status, CAST(o_custkey % 5 + 1 AS INTEGER) attempt,
   CASE WHEN o_totalprice < 250000 THEN 'SEED' ELSE 'BATCH' END origin, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END finished_at,
-  o_custkey % 3 dataset_fingerprint, o_custkey % 2 findings_checksum FROM orders)
-"""
+  o_custkey % 3 dataset_fingerprint, o_custkey % 2 findings_checksum FROM orders)"""
+_RUNS = "WITH " + _RUNS_CTE + "\n"
+SQL["audit_ledger"] = _audit()
 SQL["latest_run"] = _RUNS + """SELECT id, as_of, attempt FROM runs WHERE dataset = 'CLEAN' AND scope = 'FULL' AND stats_status = 'COMPLETE'
 ORDER BY as_of DESC, attempt DESC, id DESC LIMIT 1"""
 SQL["latest_verdict"] = _RUNS + """SELECT id, finished_at FROM runs WHERE origin = 'BATCH' AND finished_at IS NOT NULL
@@ -241,8 +302,9 @@ UNION ALL SELECT 'sum active_count', CAST(SUM(active_count) AS BIGINT) FROM stoc
 UNION ALL SELECT 'sold-out coupons', COUNT(*) FROM stocks s JOIN (SELECT coupon_id, COUNT(*) n FROM issuances GROUP BY coupon_id) i
   ON i.coupon_id = s.coupon_id WHERE i.n >= s.total_quantity"""
 SQL["status_summary"] = _LEDGER + _SUMMARY
-SQL["run_summary"] = _LEDGER + " UNION ALL ".join(
-    [f"""SELECT 'rows {t}' measure, COUNT(*) "value" FROM {t}""" for t in ("histories", "usages", "issuances")] + [_SUMMARY]
+_WRITTEN = {"coupons": "coupons", "coupon_stocks": "stocks", "coupon_stats": "cs", "issuances": "issuances", "issuance_histories": "histories", "issuance_usages": "usages"}
+SQL["run_summary"] = _STATS + " UNION ALL ".join(
+    [f"""SELECT 'rows {name}' measure, COUNT(*) "value" FROM {t}""" for name, t in _WRITTEN.items()] + [_SUMMARY]
 )
 SQL["late_expiry"] = _LEDGER + f"SELECT COUNT(*) late_expiry FROM issuances WHERE expires_at < TIMESTAMP '{AS_OF}' AND status = 'ISSUED'"
 SQL["expiring_soon"] = _LEDGER + f"""SELECT id, expires_at FROM issuances WHERE expires_at > TIMESTAMP '{AS_OF}'

@@ -16,6 +16,7 @@ from tallymark.functions.times import plus_days
 from tallymark.operators.ledger import Ledger
 from tallymark.operators.replay import EventLog
 from tallymark.operators.skew import lag_in_group
+from tallymark.operators.stats import coupon_funnel
 
 AS_OF = "1999-01-01 00:00:00"
 GRADES = (("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 4), ("4-NOT SPECIFIED", 8), ("5-LOW", 16))
@@ -146,8 +147,19 @@ def grades(spark: SparkSession) -> DataFrame:
     return fixed_rows(spark, list(GRADES), "code string, bit_value int")
 
 
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers; some grades do not exist, and address hashes repeat."""
+    names = F.array(*[F.lit(g) for g, _ in GRADES], F.lit("NONE"))
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.get(names, F.col("c_nationkey") % 6).alias("membership_grade"),
+        F.sha2(F.concat("c_mktsegment", (F.col("c_custkey") % 700).cast("string")), 256).alias("email_hash"),
+        F.lit("1992-01-01 00:00:00").cast("timestamp_ntz").alias("created_at"),
+    )
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
-    return Ledger(
+    base = Ledger(
         coupons=coupons(spark, sf_dir),
         grades=grades(spark),
         coupon_stocks=stocks(spark, sf_dir),
@@ -155,7 +167,10 @@ def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
         issuance_histories=histories(spark, sf_dir),
         issuance_usages=usages(spark, sf_dir),
     )
-
+    funnel = coupon_funnel(base.coupons, base.issuances, base.coupon_stocks)
+    return base.with_tables(
+        members=members(spark, sf_dir), coupon_stats=funnel.select(F.lit(1).cast("bigint").alias("run_id"), *funnel.columns)
+    )
 
 
 

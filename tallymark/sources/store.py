@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.operators.ledger import Ledger
@@ -35,6 +36,20 @@ def write_tables(tables: Mapping[str, DataFrame], root: str, mode: str = "errori
         write_table(df, root, name, mode)
 
 
+def write_counted(
+    tables: Mapping[str, DataFrame], root: str, also: Mapping[str, Mapping[str, Column]] | None = None, mode: str = "errorifexists"
+) -> dict[str, dict[str, int]]:
+    """Write each table in files of bounded size; its rows, and other aggregates asked for, are counted by the write itself."""
+    found = {}
+    for name, df in tables.items():
+        seen = Observation(f"write {name}")
+        wanted = {"rows": F.count(F.lit(1)), **(also or {}).get(name, {})}
+        observed = df.observe(seen, *[c.alias(n) for n, c in wanted.items()])
+        observed.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{root}/{name}")
+        found[name] = {n: v or 0 for n, v in seen.get.items()}
+    return found
+
+
 def read_tables(spark: SparkSession, root: str, names: Iterable[str] = tuple(schemas.TABLES)) -> dict[str, DataFrame]:
     return {name: read_table(spark, root, name) for name in names}
 
@@ -90,18 +105,37 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share; only a local session without one gets a folder of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """Written once to the shared folder and read from there; the files go when the session ends."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder the cluster names.
 
     Only a local session without such a folder gets one of its own.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
-    elif context.getCheckpointDir() is None:
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint()
