@@ -14,6 +14,8 @@ an empty table gives an empty result. Other columns of the input are not read, w
 
 from __future__ import annotations
 
+import functools
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 
 END = 1
 BATCH = 1_000
+#: More than any limit: the demand of a place in the stock that is empty.
+TAKEN = 2**62
 
 
 @dataclass(frozen=True)
@@ -61,17 +65,24 @@ def pack(pieces: Iterable[Piece], limits: Limits = Limits()) -> Iterator[list[Pi
     """Sequences, each a list of pieces in order, within the limits."""
     if min(limits.tokens, limits.segments, limits.stock) < 1 or limits.loss < 0:
         raise ValueError("the limits leave no room for a single token")
-    most = np.array([limits.tokens, limits.segments, max(limits.loss, 1)])
-    caps = np.array([limits.tokens, limits.segments, limits.loss])
+    most = (limits.tokens, limits.segments, max(limits.loss, 1))
+    caps = (limits.tokens, limits.segments, limits.loss)
     source, stock, done = iter(pieces), [None] * limits.stock, False
-    demands = np.zeros((limits.stock, 3), dtype=np.int64)
+    # demands of the stock, one row a limit, and their shares of the limits; what is taken demands too much to fit
+    demands = np.full((3, limits.stock), TAKEN, dtype=np.int64)
+    shares = np.zeros((3, limits.stock))
     free = np.zeros(limits.stock, dtype=bool)
+    held = 0
 
     def put(at: int, piece: Piece | None) -> None:
-        nonlocal stock, free, demands
+        nonlocal held
+        if stock[at] is not None:
+            held -= len(stock[at].ids)
         stock[at], free[at] = piece, piece is not None
+        demands[:, at] = TAKEN if piece is None else piece.demand
         if piece is not None:
-            demands[at] = piece.demand
+            held += len(piece.ids)
+            shares[:, at] = piece.demand / most
 
     while True:
         if not done:
@@ -80,24 +91,24 @@ def pack(pieces: Iterable[Piece], limits: Limits = Limits()) -> Iterator[list[Pi
                     done = True
                     break
                 put(at, piece)
-        held = int(demands[free, 0].sum())
         if not held:
             return
-        left = caps.copy()
+        left = list(caps)
         if done and held < limits.tokens:
             left[0] = 1 << (held.bit_length() - 1)  # the largest power of two still filled
         sequence: list[Piece] = []
         aside: list[tuple[int, Piece]] = []
-        while left[0] > 0 and left[1] > 0 and free.any():
-            fits = free & (demands <= left).all(axis=1)
-            score = (demands / most) @ (left / most)
-            if fits.any():
-                at = int(np.argmax(np.where(fits, score, -1.0)))
+        while left[0] > 0 and left[1] > 0 and held:
+            fits = (demands[0] <= left[0]) & (demands[1] <= left[1]) & (demands[2] <= left[2])
+            score = shares[0] * (left[0] / most[0]) + shares[1] * (left[1] / most[1]) + shares[2] * (left[2] / most[2])
+            whole = np.where(fits, score, -1.0)
+            at = int(whole.argmax())
+            if whole[at] >= 0:
                 sequence.append(stock[at])
-                left -= demands[at]
+                left = [a - int(b) for a, b in zip(left, stock[at].demand)]
                 put(at, None)
                 continue
-            at = int(np.argmax(np.where(free, score, -1.0)))
+            at = int(np.where(free, score, -1.0).argmax())
             piece = stock[at]
             size = int(np.searchsorted(np.cumsum(piece.loss[: left[0]]), left[2], side="right"))
             put(at, None)
@@ -106,7 +117,7 @@ def pack(pieces: Iterable[Piece], limits: Limits = Limits()) -> Iterator[list[Pi
                 continue
             first, second = piece.cut(size)
             sequence.append(first)
-            left -= first.demand
+            left = [a - int(b) for a, b in zip(left, first.demand)]
             aside.append((at, second))
         for at, piece in aside:
             put(at, piece)
@@ -121,25 +132,12 @@ def pack(pieces: Iterable[Piece], limits: Limits = Limits()) -> Iterator[list[Pi
                     sequence.append(first)
                 over -= len(piece.ids)
                 if free.all():  # cutting may leave one piece more than there is room for
-                    stock, free, demands = [*stock, None], np.append(free, False), np.vstack([demands, demands[:1]])
+                    stock, free = [*stock, None], np.append(free, False)
+                    demands, shares = np.hstack([demands, np.full((3, 1), TAKEN)]), np.hstack([shares, np.zeros((3, 1))])
                 put(int(np.flatnonzero(~free)[0]), piece)
         yield sequence
 
 
-class Chunks(dict):
-    """Ids of a chunk of text as little-endian bytes, made once each; forgets all when it has grown to `most`."""
-
-    def __init__(self, encode: Callable[[str], list[int]], most: int = 300_000):
-        super().__init__()
-        self.encode, self.most = encode, most
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        self[chunk] = ids = np.asarray(self.encode(chunk), dtype="<u4").tobytes()
-        return ids
-
-
 #: How the vocabulary's byte-level coding splits text (fixed by the vocabulary).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -151,40 +149,48 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _assumed(described: dict, path: str) -> None:
+    """The file must describe what the coder below does: byte-level BPE whose merges are ranked like their ids."""
+    model, split = described["model"], described["pre_tokenizer"] or {}
+    plain = [f for f in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix") if model.get(f)]
+    if (
+        described["normalizer"] is not None
+        or model["type"] != "BPE"
+        or plain
+        or split.get("type") != "ByteLevel"
+        or split.get("add_prefix_space")
+        or not split.get("use_regex", True)
+    ):
+        raise ValueError(f"{path}: not a plain byte-level vocabulary")
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if any(a >= b for a, b in zip(merged, merged[1:])):
+        raise ValueError(f"{path}: the order of merges is not that of the ids")
+
+
+@functools.lru_cache(maxsize=4)
 def encoder(path: str) -> Callable[[str], np.ndarray]:
     """Text to ids by a byte-level vocabulary file of the tokenizers library; strings of special tokens are ordinary text.
 
-    A pre-token never reaches across a single space between two other characters, so a text without other white space
-    beside a space is encoded chunk by chunk, each distinct chunk once.
+    Made once in a worker process, whatever the number of its tasks.
     """
     import json
-    import re
 
     import tiktoken
 
     with open(path, encoding="utf-8") as file:
         described = json.load(file)
+    _assumed(described, path)
     special = {token["content"] for token in described["added_tokens"]}
     letters = byte_letters()
     ranks = {bytes(letters[c] for c in t): i for t, i in described["model"]["vocab"].items() if t not in special}
     whole = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-    chunks = Chunks(whole)
-    runs = re.compile(r"\s | \s").search
-
-    def encode(text: str) -> np.ndarray:
-        if runs(text):
-            return np.asarray(whole(text), dtype="<u4")
-        first, *rest = text.split(" ")
-        ids = [chunks[first]] if first else []
-        ids.extend(map(chunks.__getitem__, map(" ".__add__, rest)))
-        return np.frombuffer(b"".join(ids), dtype="<u4")
-
-    return encode
+    return lambda text: np.frombuffer(array("I", whole(text)), dtype=np.uint32)
 
 
 def packed(documents: DataFrame, tokenizer: str, limits: Limits = Limits(), keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per piece: keys, start, length, ids (little-endian 32-bit), loss_tokens, doc_tokens, sequence_id, offset."""
     from pyspark import TaskContext
+    from pyspark.sql.pandas.types import to_arrow_type
 
     import pyarrow as pa
 
@@ -199,7 +205,7 @@ def packed(documents: DataFrame, tokenizer: str, limits: Limits = Limits(), keys
             for batch in batches:
                 columns = [batch.column(i).to_pylist() for i in range(len(keys))]
                 for i, text in enumerate(batch.column(len(keys)).to_pylist()):
-                    ids = np.append(encode(text or ""), np.uint32(END)).astype("<u4")
+                    ids = np.append(encode(text or ""), np.uint32(END)).astype("<u4", copy=False)
                     loss = np.ones(len(ids), dtype=np.int8)
                     names[row], left[row] = tuple(c[i] for c in columns), len(ids)
                     for start in range(0, len(ids), limits.tokens):
@@ -228,9 +234,8 @@ def packed(documents: DataFrame, tokenizer: str, limits: Limits = Limits(), keys
             yield batch()
 
     fields = documents.select(*keys).schema.fields
-    arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
     types = [
-        *[arrow[f.dataType.simpleString()] for f in fields],
+        *[to_arrow_type(f.dataType) for f in fields],
         pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(),
     ]
     out = [*[f"k{i}" for i in range(len(keys))], "start", "length", "ids", "loss_tokens", "doc_tokens", "sequence_id", "offset"]
