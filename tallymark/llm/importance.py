@@ -18,11 +18,14 @@ of the input are not read, whatever their names.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from zlib import crc32
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import ascii_lower, released, staged, text_of
+from tallymark.llm.common import released, staged
 from tallymark.operators import skew
 
 BUCKETS = 10_000
@@ -32,35 +35,46 @@ PERCENT = 5
 SEED = 42
 #: Pivot keys a round of the quickselect; each round leaves about so small a part of the rows.
 PIVOTS = 32
-#: Between words, once A-Z are lower case: ASCII other than digits and small letters.
-BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Texts whose features a task holds at once.
+ROWS = 256
+#: Bytes inside words, once A-Z are lower case: digits, small letters, and whatever is not ASCII.
+INSIDE = frozenset(b"0123456789abcdefghijklmnopqrstuvwxyz") | frozenset(range(0x80, 0x100))
+_ONLY_WORDS = bytes(i if i in INSIDE else 0x20 for i in range(256))
 #: What the k-th key is made of, in order; rows equal in it are equal in all results.
 KEY = ("down", "nameless", "id", "n_features")
 
 
-def feature_buckets(words: Column, longest: int = LONGEST, buckets: int = BUCKETS) -> Column:
-    """The bucket of every run of 1 to `longest` words, repeats included. `words` must be a variable or a stored column."""
+def feature_buckets(text: str, longest: int = LONGEST, buckets: int = BUCKETS) -> tuple[int, np.ndarray]:
+    """The number of words, and the bucket of every run of 1 to `longest` words, repeats included.
 
-    def runs(width: int) -> Column:
-        return F.when(
-            F.size(words) >= width,
-            F.transform(
-                F.sequence(F.lit(0), F.size(words) - width),
-                lambda i: F.pmod(
-                    F.crc32(F.concat_ws(" ", *[F.get(words, i + k) for k in range(width)]).cast("binary")), F.lit(buckets)
-                ).cast("smallint"),
-            ),
-        ).otherwise(F.array().cast("array<smallint>"))
-
-    return F.concat(*[runs(width) for width in range(1, longest + 1)])
+    A run is a slice of the words joined by single spaces. bytes.lower() changes A-Z alone.
+    """
+    words = text.encode("utf-8", "surrogatepass").lower().translate(_ONLY_WORDS).split()
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+    starts = np.append(0, ends + 1)[: len(words)].tolist()
+    ends = ends.tolist()
+    sums = [crc32(joined[a:b]) for width in range(longest) for a, b in zip(starts, ends[width:])]
+    return len(words), (np.array(sums, dtype=np.int64) % buckets).astype(np.int16)
 
 
 def with_features(texts: DataFrame, keep: list[str]) -> DataFrame:
     """`keep`, n_words and features (buckets) of each whole text."""
-    words = F.filter(F.split(ascii_lower(text_of()), BETWEEN), lambda w: w != "")
-    what = lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), feature_buckets(w).alias("features"))
-    # bound to a variable, the words are split once
-    return texts.select(*keep, F.get(F.transform(F.array(words), what), F.lit(0)).alias("x")).select(*keep, "x.n_words", "x.features")
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):  # long texts make many features: they leave in small batches
+                part = batch.slice(at, ROWS)
+                found = [feature_buckets(t or "") for t in part.column("text").to_pylist()]
+                offsets = np.cumsum([0, *[len(f) for _, f in found]]).astype(np.int32)
+                features = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([f for _, f in found])))
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in keep], pa.array([n for n, _ in found], type=pa.int64()), features], names=[*keep, "n_words", "features"]
+                )
+
+    kinds = dict(texts.dtypes)
+    schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in keep], "n_words bigint", "features array<smallint>"])
+    return texts.select(*keep, "text").mapInArrow(run, schema)
 
 
 def bucket_counts(features: DataFrame) -> DataFrame:
