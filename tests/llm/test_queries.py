@@ -128,8 +128,8 @@ def test_toxicity_on_held_out_labels(spark):
     model = ordinal.fitted(documents, labels.where("doc_id % 2 = 0"))
     held = ordinal.scored(documents, model).join(labels.where("doc_id % 2 = 1").withColumnRenamed("toxic", "label"), "doc_id")
     r = held.agg(
-        F.count_if("toxic AND label = 1").alias("hit"), F.count_if("label = 1").alias("all"), F.count_if("toxic AND label = 0").alias("wrong"),
-        F.count_if("label = 0").alias("clean"), F.avg(F.expr("if(label = 1, expected_severity, null)")).alias("high"),
+        F.count_if(F.expr("toxic AND label = 1")).alias("hit"), F.count_if(F.expr("label = 1")).alias("all"),
+        F.count_if(F.expr("toxic AND label = 0")).alias("wrong"), F.count_if(F.expr("label = 0")).alias("clean"), F.avg(F.expr("if(label = 1, expected_severity, null)")).alias("high"),
         F.avg(F.expr("if(label = 0, expected_severity, null)")).alias("low"),
     ).first()
     assert r["hit"] > 0.7 * r["all"] and r["wrong"] < 0.01 * r["clean"] and r["high"] > 5 * r["low"]
