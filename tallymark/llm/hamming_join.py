@@ -5,10 +5,12 @@
 2. The signature is split into CHUNKS chunks. Two signatures that differ in at most THRESHOLD values differ, by the
    pigeonhole, in at most ERRORS values of some chunk. All errors a chunk may have are enumerated: for every choice of ERRORS
    places the chunk without them, hashed, is an index key. So all pairs within the threshold share a key, at the least.
-3. Keys of two documents give a pair at once. Keys of few documents are joined. Keys of many (crowds of near copies) are not
-   paired off: all their documents are compared with one of them, the pivot, and joined through what they differ in.
-4. Pairs whose signatures are hopelessly far apart go; the others are confirmed on the full sets, and the components of the
-   confirmed links are found by spreading labels.
+3. Keys of two documents give a pair at once, keys of few documents are joined. Pairs whose signatures are hopelessly far
+   apart go, the others are confirmed on the full sets.
+4. Keys of many documents (crowds of near copies) are not paired off. Their documents are described by what they differ in
+   from the crowd's consensus. Those close enough to link whatever their differences are form a star. Only between
+   documents that are not connected by then, links are looked for through rare differences they share.
+5. The components of all confirmed links are found by spreading labels.
 
 At a similarity of 0.8 a pair is within the threshold with a probability of 0.998, and shares a key with one of 0.99998;
 whatever shares a key is confirmed, so the second is the recall of a single link. Nothing is sampled or capped.
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import bounded, released, staged
-from tallymark.llm.jaccard_join import components, near_pivots, sets_of, text_keys, with_sets
+from tallymark.llm.jaccard_join import components, sets_of, text_keys, with_sets
 
 PERCENT = 80
 WIDTH = 4
@@ -40,7 +42,7 @@ CHUNKS, ERRORS = 8, 1
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1
 #: Pairs that share a key but differ in more values than this are not confirmed: at a similarity of 0.8, one in 10 millions.
 HOPELESS = 22
-#: A key with more documents than this is handled through a pivot.
+#: The documents of a key with more than this are a crowd.
 LONG = 16
 SEED = 0x5EED
 #: Shingles hashed at once.
@@ -105,20 +107,24 @@ def index_keys(signature: Column, values: int = VALUES, chunks: int = CHUNKS, er
 
 
 def candidates(classes: DataFrame, long: int = LONG) -> tuple[DataFrame, DataFrame]:
-    """Written pairs (a, b) to be confirmed, and the (id, pivot) of crowds, from id, signature."""
+    """Written pairs (a, b) to be confirmed, and (id, pivot) for every crowd a document is in, from id, signature."""
     entries = classes.select("id", F.explode(index_keys(F.col("signature"))).alias("key"))
     shared = staged(
         entries.groupBy("key")
         .agg(F.count(F.lit(1)).alias("documents"), F.min("id").alias("a"), F.max("id").alias("b"))
         .where("a < b")
     )
-    larger = bounded(shared.where("documents > 2").select("key", "documents", F.col("a").alias("pivot")))
+    larger = bounded(shared.where("documents > 2").select("key", "documents"))
     members = staged(entries.join(larger, "key"))
     few = members.where(F.col("documents") <= long)
     x, y = few.alias("x"), few.alias("y")
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     pairs = staged(shared.where("documents = 2").select("a", "b").unionByName(met).distinct())
-    crowds = staged(members.where(F.col("documents") > long).select("id", "pivot").distinct())
+    many = members.where(F.col("documents") > long)
+    # a crowd is named by the document in its middle, whose keys most documents share: keys with the same are one crowd
+    central = many.groupBy("id").agg(F.sum("documents").alias("met"))
+    pivots = many.join(central, "id").groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("id"))).alias("head"))
+    crowds = staged(many.join(pivots.select("key", (-F.col("head.id")).alias("pivot")), "key").select("id", "pivot").distinct())
     released(shared, members)
     return pairs, crowds
 
@@ -141,6 +147,81 @@ def confirmed(documents: DataFrame, classes: DataFrame, pairs: DataFrame, percen
     return linked
 
 
+def described(documents: DataFrame, crowds: DataFrame, width: int) -> DataFrame:
+    """id, pivot, n, d: of every document in a crowd its set's size and its symmetric difference from the crowd's consensus.
+
+    The consensus are the tokens that more than half of the crowd hold, at most twice as many as a document has on average.
+    Unlike a member it has no peculiarities, which would be differences that all others share.
+    """
+    sets = sets_of(documents, crowds.select("id"), width)
+    held = staged(crowds.join(sets, "id").select("id", "pivot", "set"))
+    sizes = held.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"))
+    counts = held.select("pivot", F.explode("set").alias("token")).groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("df"))
+    most = counts.join(sizes, "pivot").where(2 * F.col("df") > F.col("members"))
+    middle = most.groupBy("pivot").agg(F.collect_list("token").alias("middle"))
+    both = held.join(middle, "pivot", "left").withColumn("middle", F.coalesce("middle", F.array().cast("array<bigint>")))
+    apart = F.concat(F.array_except("set", "middle"), F.array_except("middle", "set"))
+    out = staged(both.select("id", "pivot", F.size("set").cast("bigint").alias("n"), apart.alias("d")))
+    released(sets, held)
+    return out
+
+
+def stars(crowd: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that the sizes of the differences prove.
+
+    Sets A and B link exactly when |dA xor dB| <= k * (nA + nB), k = (100 - percent) / (100 + percent). Where |dA| - k * nA and
+    |dB| - k * nB add up to 0 or less they do so whatever the differences are; if two documents prove their link in this way,
+    both prove one with the document of the least such number.
+    """
+    p, q = 100 - percent, 100 + percent
+    weighed = crowd.select("id", "pivot", (q * F.size("d") - p * F.col("n")).cast("bigint").alias("weight"))
+    centre = weighed.groupBy("pivot").agg(F.min(F.struct("weight", "id")).alias("centre"))
+    proven = (F.col("weight") + F.col("centre.weight") <= 0) & (F.col("id") != F.col("centre.id"))
+    return weighed.join(centre, "pivot").where(proven).select(F.col("centre.id").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def across(crowd: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) inside crowds between documents of different labels (id, component; without one, a document is its own).
+
+    What the sizes do not prove needs a common difference: one among the rarest of either side, as two linked sets differ in
+    at most k' * n tokens, k' = (100 - percent) / percent, so that more of a document's differences need not be looked at.
+    """
+    p, q = 100 - percent, 100 + percent
+    labelled = crowd.join(labels.withColumnRenamed("component", "label"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    mixed = labelled.groupBy("pivot").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("pivot")
+    open_ = staged(labelled.join(mixed, "pivot", "left_semi"))
+    tokens = open_.select("id", "pivot", F.explode("d").alias("token"))
+    shared = tokens.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    common = tokens.join(shared, ["pivot", "token"]).groupBy("id", "pivot").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("common"))
+    # differences that no other document has come first; only their number matters
+    ordered = (
+        open_.join(common, ["id", "pivot"])
+        .select("id", "pivot", "n", "label", F.size("d").cast("bigint").alias("size"), F.size("common").alias("some"), F.posexplode("common").alias("at", "c"))
+        .where(percent * (F.col("size") - F.col("some") + F.col("at")) <= p * F.col("n"))
+        .select("id", "pivot", "n", "label", "size", "some", "at", F.col("c.token").alias("token"))
+    )
+    x, y = ordered.alias("x"), ordered.alias("y")
+    total, slack = F.col("x.size") + F.col("y.size"), p * (F.col("x.n") + F.col("y.n"))
+    # the most they can share, if they share this one: of those that come first in the order, and of those that follow
+    room = F.least("x.at", "y.at") + 1 + F.least(F.col("x.some") - F.col("x.at") - 1, F.col("y.some") - F.col("y.at") - 1)
+    match = (
+        (F.col("x.pivot") == F.col("y.pivot"))
+        & (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.id") < F.col("y.id"))
+        & (F.col("x.label") != F.col("y.label"))
+        & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+        & (q * total > slack)
+        & (q * (total - 2 * room) <= slack)
+    )
+    pairs = x.join(y, match).select("x.pivot", F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    side = lambda name: open_.select("pivot", F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("d").alias(f"d{name}"))
+    apart = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
+    linked = pairs.join(side("a"), ["pivot", "a"]).join(side("b"), ["pivot", "b"]).where(q * apart <= p * (F.col("na") + F.col("nb")))
+    found = staged(linked.select("a", "b").distinct())
+    released(open_)
+    return found
+
+
 def grouped(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """Every row's doc_id, n_shingles, component_id and kept."""
     f1, f2 = text_keys()
@@ -151,7 +232,11 @@ def grouped(documents: DataFrame, percent: int = PERCENT, width: int = WIDTH) ->
     classes = staged(one.select("f1", "f2", F.col("one.doc_id").alias("id"), F.col("one.n").alias("n"), F.col("one.signature").alias("signature")))
     full = classes.where("n > 0").select("id", "signature")
     pairs, crowds = candidates(full)
-    links = confirmed(documents, full, pairs, percent, width).unionByName(near_pivots(documents, crowds, percent, width))
+    links = confirmed(documents, full, pairs, percent, width)
+    if not crowds.isEmpty():
+        crowd = described(documents, crowds, width)
+        links = staged(links.unionByName(stars(crowd, percent)))
+        links = links.unionByName(across(crowd, components(links), percent))
     # an id with several texts is one node and joins their classes
     reused = (
         rows.where("n > 0").groupBy(F.col("doc_id").alias("b")).agg(F.min(F.struct("f1", "f2")).alias("low"), F.max(F.struct("f1", "f2")).alias("high"))
