@@ -15,16 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark import contract as C
-from tallymark.functions.hashing import uniform, uniform_int
+from tallymark.functions.hashing import uniform
 from tallymark.functions.text import issue_code, target_key
 from tallymark.functions.times import micros_between, ntz, plus_days, plus_micros, seconds_between, truncate_second
-from tallymark.operators import apportion, skew
+from tallymark.operators import skew
 from tallymark.operators.ledger import Ledger
 from tallymark.sources.store import checkpoint
 
-CANDIDATES = 64  # member candidates tried per cloned issuance
-MEMBER_SAMPLE = 4096
-CLONE_CAP = 8  # faults 5 and 6 per coupon
 GAP_MICROS = 100  # free time a fault needs between two events
 
 _EXPECTED = ("corrupt_type", "finding_type", "target_key", "campaign_id", "member_id", "coupon_id", "history_id", "note")
@@ -40,19 +37,16 @@ def _expected(df: DataFrame, fault: Column | int, rule: str, key: Column, note:
     )
 
 
-def coupon_slots(ledger: Ledger, as_of, clone_cap: int = CLONE_CAP) -> DataFrame:
-    """Past coupons by age with their place (0-based) and rows per status."""
-    counted = ledger.issuances.groupBy(F.col("coupon_id").alias("id")).agg(
-        F.count(F.lit(1)).alias("issued_rows"),
-        *[F.count_if(F.col("status") == s).alias(s) for s in C.STATUSES],
-    )
+def coupon_slots(ledger: Ledger, as_of) -> DataFrame:
+    """Past coupons by age with their place (0-based): one row per coupon."""
+    issued = ledger.issuances.select(F.col("coupon_id").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("issued_rows"))
     past = (
         ledger.coupons.where(F.col("close_at") <= ntz(as_of))
         .select("id", "eligible_grades_mask", "open_at", "close_at", "valid_days")
-        .join(counted, "id")
+        .join(issued, "id")
     )
-    ranked = skew.dense_number(past, ["id"], "place").withColumn("place", F.col("place") - 1)
-    return ranked.withColumn("clones", F.least(F.col("issued_rows"), F.lit(clone_cap)))
+    ranked = skew.dense_number(checkpoint(past), ["id"], "place")
+    return ranked.withColumn("place", F.col("place") - 1)
 
 
 def fault_candidates(ledger: Ledger, as_of) -> DataFrame:
@@ -77,75 +71,52 @@ def fault_candidates(ledger: Ledger, as_of) -> DataFrame:
     )
 
 
-def _choose(candidates: DataFrame, quota: DataFrame, fault: int, need: int, seed: int) -> DataFrame:
-    """Per coupon as many candidates as its quota, in hash order."""
-    # the literal bound lets map tasks keep only `need` rows per coupon
-    w = Window.partitionBy("coupon_id").orderBy(uniform(seed, f"fault {fault}", F.col("id")), F.col("id"))
-    wanted = F.broadcast(quota.where("quota > 0").select(F.col("id").alias("coupon_id"), "quota"))  # at most `need` rows
-    return (
-        candidates.join(wanted, "coupon_id")
-        .withColumn("pick", F.row_number().over(w))
-        .where(F.col("pick") <= need)
-        .where("pick <= quota")
-        .withColumn("fault", F.lit(fault))
-        .drop("quota")
-    )
-
-
 class FaultPlan:
-    """Chosen targets, each table small and checkpointed."""
+    """Chosen targets, small tables that are checkpointed.
+
+    All types choose at once: every issuance is offered to the types it suits, each coupon ranks its offers of a type by a
+    hash, and a type takes first the best offer of each coupon, in order of age, then the second ones. So faults spread
+    evenly, and no task keeps more than a type needs. Types 1 and 3 take one offer a coupon.
+    """
 
     def __init__(self, ledger: Ledger, as_of, seed: int, counts: dict[int, int], slots: dict[int, tuple[int, int | None]], plant_grade_fault: bool):
-        self.as_of, self.seed, self.counts = as_of, seed, counts
-        coupons = checkpoint(coupon_slots(ledger, as_of))
-        candidates = fault_candidates(ledger, as_of)
-        fit = candidates.groupBy(F.col("coupon_id").alias("id")).agg(
-            F.count_if("fits_double_cancel").alias("can3"),
-            F.count_if("fits_open_usage").alias("can7"),
-            F.count_if(F.col("status") == C.USED).alias("can2"),
-            F.count_if(F.col("status") == C.EXPIRED).alias("can4"),
-            F.count(F.lit(1)).alias("rows"),
-        )
-        coupons = checkpoint(coupons.join(fit, "id"))
+        self.as_of, self.seed = as_of, seed
+        counts = dict(counts) | ({C.FAULT_GRADE: 1} if plant_grade_fault else {})
+        slots = dict(slots) | {C.FAULT_GRADE: slots[5]}
+        coupons = checkpoint(coupon_slots(ledger, as_of)).withColumnRenamed("id", "coupon_id")
+        place = F.col("place")
 
-        def within(fault: int) -> DataFrame:
+        def inside(fault: int) -> Column:
             low, high = slots[fault]
-            inside = F.col("place") >= low if high is None else F.col("place").between(low, high - 1)
-            return coupons.where(inside)
-
-        def one_each(fault: int, able: str) -> DataFrame:
-            rows = within(fault).where(able).orderBy("place").limit(counts[fault])
-            return rows.withColumn("quota", F.lit(1))
-
-        def spread(fault: int, cap: str) -> DataFrame:
-            return apportion.spread_quota(within(fault), "place", cap, counts[fault])
-
-        quotas = {
-            1: one_each(1, "rows > 0"),
-            2: spread(2, "can2"),
-            3: one_each(3, "can3 > 0"),
-            4: spread(4, "can4"),
-            5: spread(5, "clones"),
-            6: spread(6, "clones"),
-            7: spread(7, "can7"),
-        }
-        self.stock_targets = checkpoint(quotas[1].select("id", F.lit(1).alias("fault")))
-        able = {
+            return place >= low if high is None else place.between(low, high - 1)
+
+        restricted = F.col("eligible_grades_mask") != C.MASK_ALL
+        suits = {
+            1: F.lit(True),
             2: F.col("status") == C.USED,
             3: F.col("fits_double_cancel"),
             4: F.col("status") == C.EXPIRED,
             5: F.lit(True),
             6: F.lit(True),
             7: F.col("fits_open_usage"),
+            C.FAULT_GRADE: restricted,
         }
-        picked = [_choose(candidates.where(able[f]), quotas[f], f, counts[f], seed) for f in able]
-        if plant_grade_fault:
-            restricted = within(5).where(F.col("eligible_grades_mask") != C.MASK_ALL).orderBy("place").limit(1)
-            picked.append(_choose(candidates, restricted.withColumn("quota", F.lit(1)), C.FAULT_GRADE, 1, seed))
-        terms = coupons.select(F.col("id").alias("coupon_id"), "eligible_grades_mask", "open_at", "close_at", "valid_days")
-        self.targets = checkpoint(skew.lookup_join(reduce(DataFrame.unionByName, picked), terms, ["coupon_id"]))
+        single = (1, 3, C.FAULT_GRADE)
+        offers = skew.lookup_join(fault_candidates(ledger, as_of), coupons, ["coupon_id"]).withColumn(
+            "fault", F.explode(F.filter(F.array(*[F.when(suits[f] & inside(f), F.lit(f)) for f in counts]), lambda f: f.isNotNull()))
+        )
+        by_hash = Window.partitionBy("fault", "coupon_id").orderBy(F.xxhash64(F.lit(seed), "fault", "id"), "id")
+        in_turn = Window.partitionBy("fault").orderBy("pick", "place")
+        need = max(counts.values())  # a literal: map tasks keep so many rows of a group at most
+        wanted = F.coalesce(*[F.when(F.col("fault") == f, F.lit(n)) for f, n in counts.items()])
+        self.targets = checkpoint(
+            offers.withColumn("pick", F.row_number().over(by_hash))
+            .where((F.col("pick") <= need) & (~F.col("fault").isin(*single) | (F.col("pick") == 1)))
+            .withColumn("turn", F.row_number().over(in_turn))
+            .where((F.col("turn") <= need) & (F.col("turn") <= wanted))
+        )
+        self.stock_targets = self.of(1).select(F.col("coupon_id").alias("id"), F.lit(1).alias("fault"))
         got = {r["fault"]: r["count"] for r in self.targets.groupBy("fault").count().collect()}  # one row per fault type
-        got[1] = self.stock_targets.count()
         short = {f: (n, got.get(f, 0)) for f, n in counts.items() if got.get(f, 0) < n}
         if short:
             raise ValueError(f"ledger too small for the planned faults, type: (wanted, possible) {short}")
@@ -155,32 +126,42 @@ class FaultPlan:
 
 
 def _new_members(ledger: Ledger, clones: DataFrame, seed: int) -> DataFrame:
-    """A member who holds nothing of the coupon yet, for every cloned row.
+    """A member who holds nothing of the coupon yet, for every cloned row: fault, id, coupon_id, new_member.
 
-    fault, id, coupon_id, new_member. Each clone tries CANDIDATES members of a
-    uniform sample; a coupon's clones never get the same one.
+    Members have ranks by id. A clone asks for the k-th of the members its coupon leaves free, a k of its own within the
+    coupon. With the i-th taken rank t_i (from 0), t_i - i free ranks lie below it, so the k-th free rank is k plus the number
+    of taken ones with t_i - i <= k: a count, exact as long as one member is free. Ranges are numbered, never a whole coupon
+    or table in one task.
     """
-    mid = F.col("id")
-    sample = (
-        ledger.members.select("id")
-        .groupBy(F.pmod(F.xxhash64(F.lit(seed), F.lit("cell"), mid), F.lit(MEMBER_SAMPLE)).alias("cell"))
-        .agg(F.min_by("id", F.xxhash64(F.lit(seed), F.lit("pick"), mid)).alias("new_member"))
+    ranked = checkpoint(skew.dense_number(checkpoint(ledger.members.select("id").distinct()), ["id"], "rank").withColumn("rank", F.col("rank") - 1))
+    members = ranked.count()
+    mine = clones.select("coupon_id").distinct()  # at most as many coupons as faults
+    holders = ledger.issuances.join(F.broadcast(mine), "coupon_id", "left_semi").select("coupon_id", F.col("member_id").alias("id")).distinct()
+    taken = checkpoint(skew.lookup_join(holders, ranked, ["id"]).select("coupon_id", "rank"))
+    numbered = skew.dense_number(taken, ["coupon_id", "rank"], "number")
+    sizes = taken.groupBy("coupon_id").agg(F.count(F.lit(1)).alias("held"))
+    asking = Window.partitionBy("coupon_id").orderBy("fault", "id")  # at most as many rows as faults
+    asked = (
+        clones.select("fault", "id", "coupon_id", (F.row_number().over(asking) - 1).alias("j"))
+        .join(sizes, "coupon_id", "left")
+        .withColumn("free", F.lit(members) - F.coalesce("held", F.lit(0)))
+        .where("j < free")
+        .withColumn("k", F.pmod(F.xxhash64(F.lit(seed), "coupon_id") + F.col("j"), F.col("free")))
+    )
+    asked = checkpoint(asked.select("fault", "id", "coupon_id", "k"))
+    first = numbered.groupBy("coupon_id").agg(F.min("number").alias("first"))  # numbers go on from coupon to coupon
+    below = numbered.join(F.broadcast(first), "coupon_id").select("coupon_id", (F.col("rank") - (F.col("number") - F.col("first"))).alias("free_below"))
+    passed = (
+        F.broadcast(asked)  # one row per clone
+        .join(below, "coupon_id")
+        .where("free_below <= k")
+        .groupBy("fault", "id", "coupon_id")
+        .agg(F.count(F.lit(1)).alias("passed"))
     )
-    tries = clones.select(
-        "fault", "id", "coupon_id", F.explode(F.sequence(F.lit(0), F.lit(CANDIDATES - 1))).alias("t")
-    ).withColumn("cell", F.pmod(uniform_int(seed, "first cell", 0, MEMBER_SAMPLE - 1, F.col("fault"), mid) + F.col("t") * 37, F.lit(MEMBER_SAMPLE)))
-    asked = checkpoint(tries.join(F.broadcast(sample), "cell"))  # at most MEMBER_SAMPLE rows
-    pairs = asked.select("coupon_id", F.col("new_member").alias("member_id")).distinct()  # faults x CANDIDATES rows at most
-    taken = (
-        ledger.issuances.select("coupon_id", "member_id")
-        .join(F.broadcast(pairs), ["coupon_id", "member_id"], "left_semi")
-        .distinct()
-        .withColumnRenamed("member_id", "new_member")
+    wanted = asked.join(passed, ["fault", "id", "coupon_id"], "left").select(
+        "fault", F.col("id").alias("source"), "coupon_id", (F.col("k") + F.coalesce("passed", F.lit(0))).alias("rank")
     )
-    free = asked.join(taken, ["coupon_id", "new_member"], "left_anti")
-    owner = free.groupBy("coupon_id", "new_member").agg(F.min(F.struct("fault", "id", "t")).alias("o"))
-    best = owner.groupBy("o.fault", "o.id", "coupon_id").agg(F.min_by("new_member", "o.t").alias("new_member"))
-    return best
+    return ranked.join(F.broadcast(wanted), "rank").select("fault", F.col("source").alias("id"), "coupon_id", F.col("id").alias("new_member"))
 
 
 def inject(

@@ -136,3 +136,11 @@ def run_summary(tables: dict[str, DataFrame], root: str) -> DataFrame:
     full = stats_of.join(tables["coupon_stocks"].select("coupon_id", "total_quantity"), "coupon_id").where("issued_total >= total_quantity AND issued_total > 0")
     sold = full.agg(F.count(F.lit(1)).alias("value")).select(F.lit("sold-out coupons").alias("measure"), "value")
     return fixed_rows(spark, rows, "measure string, value bigint").unionByName(sold)
+
+
+def stored_summary(tables: dict[str, DataFrame], issuances: DataFrame, stocks: DataFrame) -> DataFrame:
+    """The same measures of a ledger that is written already: row counts by a scan of each table."""
+    from tallymark.sources.store import row_counts
+
+    rows = row_counts(tables).select(F.concat(F.lit("rows "), "table_name").alias("measure"), F.col("row_count").alias("value"))
+    return rows.unionByName(status_summary(issuances, stocks))

@@ -143,8 +143,8 @@ SQL["turn_chain_strict"] = _TURNS % ""
 # --- planted faults: the plan itself says what must be found ------------------
 SQL["tidy_control"] = f"SELECT finding_type, COUNT(o_orderkey) finding_count FROM {_TYPES} LEFT JOIN orders ON FALSE GROUP BY finding_type"
 SQL["planted_faults"] = """SELECT finding_type, n planted, n found, CAST(0 AS BIGINT) missing, CAST(0 AS BIGINT) false_positive FROM (VALUES
-  ('STOCK_MISMATCH', CAST(40 AS BIGINT)), ('DUP_PER_MEMBER', 40), ('REPLAY_MISMATCH', 20), ('ILLEGAL_TRANSITION', 40),
-  ('USAGE_MISMATCH', 20), ('GRADE_VIOLATION', 1)) AS t(finding_type, n)"""
+  ('STOCK_MISMATCH', CAST(200 AS BIGINT)), ('DUP_PER_MEMBER', 200), ('REPLAY_MISMATCH', 100), ('ILLEGAL_TRANSITION', 200),
+  ('USAGE_MISMATCH', 100), ('GRADE_VIOLATION', 1)) AS t(finding_type, n)"""
 SQL["fault_matrix"] = _RULES + """, wanted AS (SELECT * FROM (VALUES (1, 'STOCK_MISMATCH', 100), (2, 'REPLAY_MISMATCH', 100), (3, 'STOCK_MISMATCH', 100),
   (3, 'ILLEGAL_TRANSITION', 100), (4, 'ILLEGAL_TRANSITION', 100), (5, 'DUP_PER_MEMBER', 100), (6, 'DUP_PER_MEMBER', 100),
   (7, 'USAGE_MISMATCH', 100)) AS w(corrupt_type, finding_type, n)),

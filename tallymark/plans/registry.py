@@ -173,13 +173,12 @@ def tidy_control(spark, sf):
 
 @query
 def planted_faults(spark, sf):
-    """Faults planted in the tidy ledger and found again, per rule."""
-    free = (40, None)
+    """All 700 faults, and one of the grade, planted in the tidy ledger and found again, per rule."""
+    free = (230, None)
     faulty = inject.inject(
         adapter.tidy_ledger(spark, sf),
         adapter.TIDY_AS_OF,
-        counts={f: 20 for f in C.FAULT_RULES},
-        slots={1: (0, 20), 3: (20, 40), 2: free, 4: free, 5: free, 6: free, 7: free},
+        slots={1: C.SLOT_STOCK, 3: (100, 230), 2: free, 4: free, 5: free, 6: free, 7: free},
         plant_grade_fault=True,
     )
     found = store.checkpoint(rules.run_rules(faulty, adapter.TIDY_AS_OF).select("finding_type", "target_key"))

@@ -246,7 +246,7 @@ def manifest(spark: SparkSession, profile: Profile, root: str) -> str:
     """JSON summary of a built ledger: profile, row counts, distributions, digests."""
     names = ["coupons", "members", "issuances", "issuance_histories", "issuance_usages", "coupon_stocks"]
     tables = store.read_tables(spark, root, names)
-    measures = stats.run_summary(tables, tables["issuances"], tables["coupon_stocks"])
+    measures = stats.stored_summary(tables, tables["issuances"], tables["coupon_stocks"])
     run = store.read_table(spark, root, "verification_runs").orderBy("id").first()
     return json.dumps(
         {
