@@ -4,7 +4,8 @@ Per page, the text of every root-to-leaf tag path is summed up: characters and p
 smoothed over neighbouring paths in page order, fused by their geometric mean, and paths above a threshold are content.
 The content paths name the article's container: the marked ones (article, main) if one of them holds most of their text,
 else the smallest element with all their text and the page's main heading. The text is that of the container's blocks,
-short ones included, without elements that are navigation, notices, adverts, forms or comments by their tag, role or name.
+short ones included, without elements that are navigation, notices, adverts, forms or comments by their tag or role, by a
+name that says nothing else, or by another name if no text of theirs is on a content path: see `belongs`.
 A name or a form does not take away the element that holds most of the content: see `spared`.
 
 Pages are handled in their own rows; the memory needed is that of one page.
@@ -50,7 +51,15 @@ DROPPED_NAMES = frozenset(
 )
 #: Words that may stand beside those above in the name of such an element itself; with any other ("has-comments",
 #: "comments-open") the name may be that of something around an article.
-BESIDE = frozenset("area bar block box container content form inner item items list section the thread wrap wrapper".split())
+BESIDE = frozenset(
+    "area article aside bar block body bottom box button buttons col column container content count entry foot form head icon icons id inner item items"
+    " left link links list main module more outer page panel post posts rail reader readers right section site slot stories story strip text the thread"
+    " title top unit user users wrap wrapper zone".split()
+)
+#: Elements that hold other things together: only these are dropped for a class that says more than what they are.
+SHELLS = frozenset("div dl ol p section span ul".split())
+#: A marked container with less than this share of the main one's content is another story's card, or a comment.
+FAR = 0.25
 #: Opening one of these ends an open paragraph.
 ENDS_PARAGRAPH = BLOCKS - {"br", "body", "html"}
 #: An element that ends an open one of its own kind, up to the container named.
@@ -59,7 +68,7 @@ PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "path", "dropped", "outright", "main", "holds_main")
+    __slots__ = ("tag", "parent", "path", "dropped", "outright", "classed", "form", "main", "holds_main")
 
     def __init__(self, tag: str, parent: Node | None, attrs: list[tuple[str, str | None]]):
         self.tag, self.parent = tag, parent
@@ -80,7 +89,11 @@ class Node:
         self.dropped = 3 if (tag in DROPPED or hidden or role in DROPPED_ROLES) and not (form and not hidden) else 0
         self.dropped = self.dropped or (2 if form or parts & DROPPED_NAMES else 1 if parts & LAYOUT_NAMES or tag == "header" else 0)
         #: One of the names says nothing else.
-        self.outright = any(x & (DROPPED_NAMES | LAYOUT_NAMES) and x <= DROPPED_NAMES | LAYOUT_NAMES | BESIDE for x in whole)
+        noise = DROPPED_NAMES | LAYOUT_NAMES
+        self.outright = any(x & noise and all(part in noise or part in BESIDE or part.isdigit() for part in x) for x in whole)
+        #: A class has such a part. An id with one may as well be the anchor of a part of the article.
+        self.classed = any(x & noise for x in whole[: len(names)])
+        self.form = form
         if self.main and not self.dropped:
             up = parent
             while up and not up.holds_main:
@@ -196,6 +209,12 @@ def content_of(texts: list[tuple[Node, str, int]]) -> list[tuple[Node, int]]:
     return [(node, len(text.strip())) for node, text, _ in texts if node.path in content]
 
 
+def sentences(texts: list[tuple[Node, str, int]]) -> set[Node]:
+    """Elements with text on a content path that has punctuation of its own, not only of its neighbours by the smoothing."""
+    marked = {node.path for node, text, _ in texts if PUNCTUATION.search(text)}
+    return {x for node, _ in content_of(texts) if node.path in marked for x in up(node)}
+
+
 def holders(chosen: list[tuple[Node, int]]) -> set[Node]:
     """Elements that could be dropped by name or as a form, but hold most of the content."""
     under: dict[Node, int] = defaultdict(int)
@@ -223,28 +242,53 @@ def spared(texts: list[tuple[Node, str, int]]) -> set[Node]:
     return holders(content)
 
 
-def container(texts: list[tuple[Node, str, int]], content: set[str]) -> set[Node]:
-    """The elements whose text is the article's."""
+def container(texts: list[tuple[Node, str, int]], content: set[str], everything: list[tuple[Node, str, int]]) -> tuple[set[Node], set[Node]]:
+    """The elements whose text is the article's, and those marked as articles that are none of it: cards and comments."""
     chosen = [(node, len(text)) for node, text, _ in texts if node.path in content] or [(node, len(text)) for node, text, _ in texts]
-    marked: dict[Node, int] = defaultdict(int)
+    marked: dict[Node, int] = {x: 0 for node, _, _ in everything for x in up(node) if x.main}
+    outermost: dict[Node, int] = defaultdict(int)
     total = 0
     for node, size in chosen:
         total += size
-        outermost = None
-        for x in up(node):
-            if x.main:
-                outermost = x
-        if outermost is not None:
-            marked[outermost] += size
-    if marked and max(marked.values()) > MOST * total:
-        return set(marked)
+        around = [x for x in up(node) if x.main]
+        for x in around:
+            marked[x] += size
+        if around:
+            outermost[around[-1]] += size
+    best = max((x for x, size in marked.items() if size > MOST * total), key=lambda x: sum(1 for _ in up(x)), default=None)
+    others: set[Node] = set()
+    if best is not None:
+        related = set(up(best))
+        others = {x for x, size in marked.items() if x not in related and best not in set(up(x)) and size < FAR * marked[best]}
+    if outermost and max(outermost.values()) > MOST * total:
+        return {x for x in outermost if x not in others}, others
     nodes = dict.fromkeys([node for node, _ in chosen] + [node for node, _, _ in texts if "h1" in {x.tag for x in up(node)}])
     under: dict[Node, int] = defaultdict(int)
     for node in nodes:
         while node is not None:
             under[node] += 1
             node = node.parent
-    return {max((x for x, n in under.items() if n == len(nodes)), key=lambda x: sum(1 for _ in up(x)))}
+    return {max((x for x, n in under.items() if n == len(nodes)), key=lambda x: sum(1 for _ in up(x)))}, others
+
+
+def belongs(node: Node, roots: set[Node], others: set[Node], saved: set[Node], rich: set[Node]) -> bool:
+    """The element's text is the article's: it lies in a container, and nothing on the way is something else.
+
+    Inside the article a name alone drops only an element that says nothing else by it. One that says more is dropped if it is
+    a shell, named so by its class, and without text on a content path.
+    """
+    while node is not None and node not in roots:
+        if node in others or node.dropped == 3:
+            return False
+        if node.dropped and node not in saved:
+            if node.tag == "header" and node.dropped == 1:
+                if not under_main(node):
+                    return False
+            elif not (node.dropped == 1 and node.holds_main):
+                if node.outright or node.form or node.classed and node.tag in SHELLS and node not in rich:
+                    return False
+        node = node.parent
+    return node is not None
 
 
 def main_text(html: str | None) -> str:
@@ -262,15 +306,13 @@ def main_text(html: str | None) -> str:
             texts.append(item)
     if not texts:
         return ""
-    roots = container(texts, content_paths(fused_ratios(texts)))
+    roots, others = container(texts, content_paths(fused_ratios(texts)), page.texts)
+    rich = sentences([t for t in page.texts if not any(x.dropped == 3 for x in up(t[0]))])
     inside: dict[Node, bool] = {}
     blocks: dict[int, list[str]] = {}
-    for node, text, block in texts:
+    for node, text, block in page.texts:
         if node not in inside:
-            around = node
-            while around is not None and around not in roots:
-                around = around.parent
-            inside[node] = around is not None
+            inside[node] = belongs(node, roots, others, saved, rich)
         if inside[node]:
             blocks.setdefault(block, []).append(text)
     return " ".join(" ".join(" ".join("".join(parts).split()) for parts in blocks.values()).split())
