@@ -48,3 +48,54 @@ def test_main_text_keeps_the_whole_story(html, start):
 def test_named_threads_and_cards_beside_an_article_still_go():
     card = "<div class=related-posts><article><p>Another story, in short.</p></article></div>"
     assert tag_paths.main_text(f"<body><article>{STORY[:120]}</p></article>{card}{THREAD}</body>").count("story") == STORY[:120].count("story")
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        "<h2 id='related-work'>A heading that is an anchor</h2>",
+        "<section id='social-impact'><p>Impact, as the section says, is large, and so on.</p></section>",
+        "<section id='search-for-survivors'><p>The search, which went on, found all of them, at last.</p></section>",
+        "<section class='search-for-survivors'><p>The search, which went on, found all of them, at last.</p></section>",
+        "<table><tr class='table-header'><th>Year</th><th>Rain</th></tr><tr><td>1999</td><td>12 mm</td></tr></table>",
+    ],
+)
+def test_nothing_inside_the_article_goes_for_a_part_of_a_name(inner):
+    import re
+
+    want = " ".join(re.sub("<[^>]*>", " ", inner).split())
+    text = tag_paths.main_text(f"<html><body><nav><a>Menu</a></nav><article>{STORY}{inner}<p>The end, of the story.</p></article></body></html>")
+    assert text == f"{TOLD} {want} The end, of the story."
+
+
+@pytest.mark.parametrize(
+    "noise",
+    [
+        "<div class='related-posts'><ul><li><a>Another story</a></li></ul></div>",
+        "<div class='reader-comments'><p>Nice post, thanks a lot, really, and so on.</p></div>",
+        "<div class='share-buttons-2'><a>Share</a></div>",
+        "<ul class='related-reading-tips'><li><a>Tip one</a></li><li><a>Tip two</a></li></ul>",
+        "<article class=card><p>A teaser, for another story.</p></article>",
+        "<section class=thread-of-replies>" + "<article><p>Nice post, thanks, and so on.</p></article>" * 3 + "</section>",
+    ],
+)
+@pytest.mark.parametrize("page", ["<main><h1>Title</h1><article>{0}</article>{1}</main>", "<main><article><h1>Title</h1>{0}</article></main>{1}", "<main><h1>Title</h1>{0}{1}</main>"])
+def test_noise_inside_and_beside_the_article_goes(page, noise):
+    if "{0}{1}" in page and "<article" in noise:
+        page = page.replace("{0}", "<article>{0}</article>")
+    text = tag_paths.main_text(f"<html><body>{page.format(STORY, noise)}</body></html>")
+    assert text == f"Title {TOLD}"
+
+
+def test_ratios_of_paths_by_hand():
+    """Three paths: characters and marks per node, smoothed over the neighbours in page order, fused by their geometric mean."""
+    page = tag_paths.Page()
+    page.feed("<div><a>Home</a><a>News</a><p>One, two.</p><p>Three, four, five.</p><b>End</b></div>")
+    page.close()
+    got = {path.rsplit("/", 1)[1]: value for path, value in tag_paths.fused_ratios(page.texts).items()}
+    sizes, marks = [4.0, 13.5, 3.0], [0.0, 2.5, 0.0]
+    smooth = lambda r: [0.75 * r[0] + 0.25 * r[1], 0.25 * r[0] + 0.5 * r[1] + 0.25 * r[2], 0.25 * r[1] + 0.75 * r[2]]
+    want = [(a * b) ** 0.5 for a, b in zip(smooth(sizes), smooth(marks))]
+    assert [got[t] for t in ("a", "p", "b")] == pytest.approx(want)
+    spread = (sum((x - sum(want) / 3) ** 2 for x in want) / 3) ** 0.5
+    assert {p.rsplit("/", 1)[1] for p in tag_paths.content_paths(tag_paths.fused_ratios(page.texts))} == {t for t, x in zip("apb", want) if x >= 0.5 * spread}
