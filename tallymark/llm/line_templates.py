@@ -31,8 +31,8 @@ CONSTANT = 0.5
 KEPT = 0.5
 #: Shorter lines are not generalised.
 LEAST_TOKENS = 8
-#: Different texts a template must occur in.
-TEXTS = 2
+#: Different texts a template must occur in: lines long enough that two texts have them by no chance, and shorter ones.
+TEXTS, SHORT_TEXTS = 2, 16
 MARK = "<*>"
 #: Rows of a table of leaves or lines (hashes) that may be broadcast; beyond, joins shuffle.
 LEAVES = 400_000
@@ -98,32 +98,37 @@ def generalised(documents: DataFrame, hashes: DataFrame) -> DataFrame:
     return words.select("l1", "l2", F.xxhash64(F.lit("template"), F.array_join(template, " ")).alias("template"))
 
 
-def recurring(documents: DataFrame, texts: int = TEXTS) -> DataFrame:
-    """id, key, at of every line to be dropped."""
+def recurring(documents: DataFrame, texts: int = TEXTS, short_texts: int = SHORT_TEXTS) -> DataFrame:
+    """id, key, at of every line to be dropped.
+
+    A line of fewer than LEAST_TOKENS tokens (a short sentence, a brace, a heading) must stand in `short_texts` texts.
+    """
     rows = staged(lines(documents).drop("masked"))
     templates = bounded(generalised(documents, rows), LEAVES)
     found = staged(
-        rows.select("id", "key", "at", "l1", "l2")
+        rows.select("id", "key", "at", "n", "l1", "l2")
         .join(templates.withColumnsRenamed({"l1": "t1", "l2": "t2"}), (F.col("l1") == F.col("t1")) & (F.col("l2") == F.col("t2")), "left")
-        .select("id", "key", "at", F.coalesce("template", "l1").alias("x1"), F.when(F.col("template").isNull(), F.col("l2")).otherwise(F.lit(0)).alias("x2"))
+        .select("id", "key", "at", "n", F.coalesce("template", "l1").alias("x1"), F.when(F.col("template").isNull(), F.col("l2")).otherwise(F.lit(0)).alias("x2"))
     )
     often = (
         found.groupBy("x1", "x2", "key")
-        .agg(F.min(F.struct("id", "key")).alias("first"))
+        .agg(F.min(F.struct("id", "key")).alias("first"), F.max("n").alias("n"))
         .groupBy("x1", "x2")
-        .agg(F.count(F.lit(1)).alias("texts"), F.min("first").alias("first"))
-        .where(F.col("texts") >= texts)
+        .agg(F.count(F.lit(1)).alias("texts"), F.min("first").alias("first"), F.max("n").alias("n"))
+        .where(F.col("texts") >= F.when(F.col("n") >= LEAST_TOKENS, texts).otherwise(short_texts))
+        .select("x1", "x2", "first")
     )
+    # one template may have a third of all lines: the table of templates is broadcast while it is small, so that they stay put
     return (
-        found.join(often, ["x1", "x2"])
+        found.join(bounded(often, LEAVES), ["x1", "x2"])
         .where(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))))
         .select("id", "key", "at")
     )
 
 
-def deduplicated(documents: DataFrame, texts: int = TEXTS) -> DataFrame:
+def deduplicated(documents: DataFrame, texts: int = TEXTS, short_texts: int = SHORT_TEXTS) -> DataFrame:
     """The documents without their recurring lines, and `dropped_lines`, how many each has lost. No column may begin with ~."""
-    drops = recurring(documents, texts).groupBy("id", "key").agg(F.collect_set("at").alias("~drops")).withColumnsRenamed({"id": "~id", "key": "~same"})
+    drops = recurring(documents, texts, short_texts).groupBy("id", "key").agg(F.collect_set("at").alias("~drops")).withColumnsRenamed({"id": "~id", "key": "~same"})
     rows = documents.withColumn("~key", F.xxhash64(text_of()))
     joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("~id")) & (F.col("~key") == F.col("~same")), "left")
     left = lambda x: F.array_join(

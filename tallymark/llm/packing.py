@@ -188,7 +188,10 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
 
 
 def packed(documents: DataFrame, tokenizer: str, limits: Limits = Limits(), keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per piece: keys, start, length, ids (little-endian 32-bit), loss_tokens, doc_tokens, sequence_id, offset."""
+    """One row per piece: keys, start, length, ids (little-endian 32-bit), loss_tokens, doc_tokens, sequence_id, offset, row_id.
+
+    row_id tells rows with equal keys apart (repeated documents, for instance): each row's pieces have one of their own.
+    """
     from pyspark import TaskContext
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -222,7 +225,7 @@ def packed(documents: DataFrame, tokenizer: str, limits: Limits = Limits(), keys
             offset = 0
             for piece in sequence:
                 n = len(piece.ids)
-                rows.append((*names[piece.row], piece.start, n, piece.ids.tobytes(), int(piece.loss.sum()), piece.total, (task << 40) + number, offset))
+                rows.append((*names[piece.row], piece.start, n, piece.ids.tobytes(), int(piece.loss.sum()), piece.total, (task << 40) + number, offset, (task << 40) + piece.row))
                 offset += n
                 left[piece.row] -= n
                 if not left[piece.row]:
@@ -236,11 +239,11 @@ def packed(documents: DataFrame, tokenizer: str, limits: Limits = Limits(), keys
     fields = documents.select(*keys).schema.fields
     types = [
         *[to_arrow_type(f.dataType) for f in fields],
-        pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(),
+        pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(),
     ]
-    out = [*[f"k{i}" for i in range(len(keys))], "start", "length", "ids", "loss_tokens", "doc_tokens", "sequence_id", "offset"]
+    out = [*[f"k{i}" for i in range(len(keys))], "start", "length", "ids", "loss_tokens", "doc_tokens", "sequence_id", "offset", "row_id"]
     schema = ", ".join([f"k{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)]) + (
-        ", start bigint, length bigint, ids binary, loss_tokens bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
+        ", start bigint, length bigint, ids binary, loss_tokens bigint, doc_tokens bigint, sequence_id bigint, offset bigint, row_id bigint"
     )
     return (
         documents.select(*keys, F.col("text"))

@@ -65,6 +65,7 @@ def pieces(documents: DataFrame) -> DataFrame:
         "sequence_id",
         "offset",
         "loss_tokens",
+        "row_id",
     )
 
 
