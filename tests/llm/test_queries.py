@@ -63,7 +63,7 @@ def without_recurring_lines(rows, texts=line_templates.TEXTS):
         keep = []
         for line in lines:
             holders = found.get(template.get(mask(line), mask(line)), set()) if words(line) else set()
-            often = len({t for _, t in holders}) >= texts
+            often = len({t for _, t in holders}) >= (texts if len(words(line)) >= line_templates.LEAST_TOKENS else line_templates.SHORT_TEXTS)
             keep.append(not often or i == min(i for i, _ in holders))
         left = "\n".join(line for line, k in zip(lines, keep) if k)
         result[i, t] = t if all(keep) else left if words(left) else None
@@ -135,6 +135,25 @@ def test_toxicity_on_held_out_labels(spark):
     assert r["hit"] > 0.7 * r["all"] and r["wrong"] < 0.01 * r["clean"] and r["high"] > 5 * r["low"]
 
 
+def linked_groups(rows, percent=80, width=5):
+    """Plain counterpart of the near-duplicate stage: {id: smallest id linked with it, over any number of links}."""
+    sets = {}
+    for i, t in rows:
+        w = words((t or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[i] = {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} or ({tuple(w)} if w else set())
+    label = {i: i for i in sets}
+    holders = {}
+    for i, s in sets.items():
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    pairs = {(a, b) for held in holders.values() for a in held for b in held if a < b}
+    linked = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    while any(label[a] != label[b] for a, b in linked):
+        for a, b in linked:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
 def test_pipeline_stages(spark, documents):
     """Each stage on its own input against plain code, and the last one by round trip."""
     docs = documents
@@ -147,7 +166,7 @@ def test_pipeline_stages(spark, documents):
     docs = stages["line_dedup"](spark, docs, SF_DIR).cache()
     assert docs.columns == documents.columns
     assert {r["doc_id"]: r["text"] for r in docs.collect()} == {i: t for (i, _), t in without_recurring_lines(rows).items() if t is not None}
-    groups = {r["doc_id"]: r["component_id"] for r in jaccard_join.grouped(docs).collect()}
+    groups = linked_groups([tuple(r) for r in docs.select("doc_id", "text").collect()])
     docs = stages["near_duplicates"](spark, docs, SF_DIR).cache()
     assert docs.columns == documents.columns and {r["doc_id"] for r in docs.collect()} == set(groups.values())
     mixed = stages["mix_sources"](spark, docs, SF_DIR).cache()
@@ -156,4 +175,21 @@ def test_pipeline_stages(spark, documents):
     assert stages["pack"](spark, mixed, SF_DIR).agg(F.sum("length")).first()[0] == sum(
         len(packing.encoder(queries.tokenizer_path())(r["text"])) + 1 for r in mixed.collect()
     )
+    copies = stages["pack"](spark, mixed, SF_DIR).groupBy("doc_id", "row_id", "doc_tokens").agg(F.sum("length").alias("n")).collect()
+    assert len(copies) == mixed.count() > len({r["doc_id"] for r in copies}) and all(r["n"] == r["doc_tokens"] for r in copies)
     assert not corpus_pipeline.run(spark, SF_DIR).isEmpty()
+
+
+def test_pipeline_edges(spark, documents):
+    """Stage after stage: null and repeated texts, missing ids and sources, columns of other names, and nothing at all."""
+    good = " ".join(f"word{i}" for i in range(70))
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (None, good + " x", None, None, None), (3, good, "en", "s", 1), (3, good, "en", "s", 1), (4, good + " y", "en", None, 2)]
+    whole = spark.createDataFrame(rows, documents.schema).withColumns({c: F.lit("clash") for c in ("id", "key", "copy", "n", "component", "host", "ids")})
+    for docs in (whole, whole.where("false")):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, SF_DIR).cache()
+            assert docs.columns == columns, name
+            docs.count()
+        packed = dict(corpus_pipeline.STAGES)["pack"](spark, docs, SF_DIR)
+        assert packed.select("row_id").distinct().count() == docs.count()

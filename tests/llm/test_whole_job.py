@@ -23,6 +23,15 @@ def test_long_line_in_two_different_documents_stays_in_the_first_only(spark):
     assert got == {1: f"one text\n{line}", 2: "the other text"}
 
 
+def test_short_lines_of_two_texts_stay(spark):
+    """A short sentence, a heading or a brace in two texts is chance; in many it is a template."""
+    line = "Les."
+    rows = [(i, f"own text of number {chr(97 + i)} here\n{line}") for i in range(line_templates.SHORT_TEXTS)]
+    texts = lambda some: {r["text"] for r in line_templates.deduplicated(spark.createDataFrame(some, "doc_id long, text string")).collect()}
+    assert texts(rows[:-1]) == {t for _, t in rows[:-1]}
+    assert sum(line in t for t in texts(rows)) == 1
+
+
 STORY = "".join(f"<p>Sentence {i}, which is part of the story, has some words.</p>" for i in range(9))
 TOLD = " ".join(f"Sentence {i}, which is part of the story, has some words." for i in range(9))
 CARD = "<article class=card><p>A teaser, for another story.</p></article>"
