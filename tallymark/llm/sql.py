@@ -57,19 +57,21 @@ _PLACES = " UNION ALL ".join(
     for phrase, label in license_join.PHRASES.items()
 )
 _TEMPLATES = ", ".join(
-    f"('{label}', {license_join.template_words(text)!r}, {license_join.least_shared(len(license_join.template_words(text)))})"
+    f"('{label}', {license_join.template_words(text)!r}, {license_join.least_shared(len(license_join.template_words(text)))}, {len(license_join.all_words(text))})"
     for label, text in license_join.TEMPLATES
 )
 _WORDS = r"list_filter(string_split_regex({text}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 OP5 = f"""
-WITH d AS (SELECT doc_id, {_WORDS.format(text=_ASCII)} w, string_split({_ASCII}, chr(10)) lines FROM documents),
+WITH d AS (SELECT doc_id, {_WORDS.format(text=_ASCII)} w FROM documents),
 spots AS (SELECT doc_id, w, unnest(range(len(w))) i FROM d),
 places AS ({_PLACES}),
 base AS (SELECT doc_id, count(*) n_base, min(i) first_word, max(i) last_word, list(DISTINCT label) labels FROM places GROUP BY doc_id),
-templates(label, words, need) AS (VALUES {_TEMPLATES}),
-blocks AS (SELECT doc_id, {_WORDS.format(text="line")} w FROM (SELECT doc_id, unnest(lines) line FROM d)),
-met AS (SELECT doc_id, label, len(list_intersect(list_distinct(w), words)) / len(words) containment
-        FROM blocks, templates WHERE len(list_intersect(list_distinct(w), words)) >= need),
+templates(label, words, need, size) AS (VALUES {_TEMPLATES}),
+near AS (SELECT doc_id, w, label, words, need, size FROM d, templates WHERE len(list_intersect(list_distinct(w), words)) >= need),
+blocks AS (SELECT doc_id, label, words, need, list_slice(w, k * size + 1, (k + 2) * size) b
+           FROM (SELECT *, unnest(range(greatest(ceil(len(w) / size)::INT - 1, 1))) k FROM near)),
+met AS (SELECT doc_id, label, len(list_intersect(list_distinct(b), words)) / len(words) containment
+        FROM blocks WHERE len(list_intersect(list_distinct(b), words)) >= need),
 best AS (SELECT doc_id, list(DISTINCT label) labels, max(containment) containment FROM met GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT n_words, coalesce(n_base, 0)::BIGINT n_base, first_word::BIGINT first_word, last_word::BIGINT last_word,
   array_to_string(list_sort(coalesce(base.labels, [])), ',') base_labels,
