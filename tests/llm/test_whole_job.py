@@ -3,7 +3,7 @@
 import pytest
 
 import corpus_pipeline
-from tallymark.llm import jaccard_join, line_templates, tag_paths
+from tallymark.llm import jaccard_join, license_join, line_templates, tag_paths
 
 
 def test_near_duplicate_stage_links_five_word_sets_from_eighty_percent(spark):
@@ -108,3 +108,28 @@ def test_ratios_of_paths_by_hand():
     assert [got[t] for t in ("a", "p", "b")] == pytest.approx(want)
     spread = (sum((x - sum(want) / 3) ** 2 for x in want) / 3) ** 0.5
     assert {p.rsplit("/", 1)[1] for p in tag_paths.content_paths(tag_paths.fused_ratios(page.texts))} == {t for t, x in zip("apb", want) if x >= 0.5 * spread}
+
+
+@pytest.mark.parametrize("prefix", ["", " * ", "# ", "-- "])
+def test_every_notice_is_found_however_it_is_wrapped(spark, prefix):
+    import textwrap
+
+    before, after = "int main() { return 0; } " * 30, "def f(x): return x + 1 " * 40
+    rows = []
+    for i, (_, text) in enumerate(license_join.TEMPLATES):
+        wrapped = "\n".join(prefix + line for line in textwrap.wrap(" ".join(text.split()), 72))
+        rows.append((i, f"{before}\n\n{wrapped}\n\n{after}"))
+    got = {r["doc_id"]: r for r in license_join.scanned(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for i, (label, _) in enumerate(license_join.TEMPLATES):
+        assert label in got[i]["template_labels"] and got[i]["score"] == 1.0
+
+
+def test_words_of_a_notice_far_apart_are_none(spark):
+    words = license_join.template_words(dict(license_join.TEMPLATES)["bsd"])
+    scattered = " ".join(f"{w} " + " ".join(f"other{i}x{k}" for k in range(12)) for i, w in enumerate(words))
+    half = " ".join(words[: len(words) // 2])
+    rows = [(1, scattered), (2, half), (3, None), (4, "")]
+    got = license_join.scanned(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r["template_labels"] for r in sorted(got, key=lambda r: r["doc_id"])] == [[], [], [], []]
+    none = license_join.scanned(spark.createDataFrame(rows, "doc_id long, text string"), templates=())
+    assert none.where("score > 0").isEmpty()
