@@ -52,6 +52,7 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "kept",
         F.col("host").alias("source"),
         "host_failed",
+        *[F.round(f"rate_{rule}", 9).alias(f"rate_{rule}") for rule in host_rules.RULES],
     )
 
 

@@ -44,10 +44,11 @@ f AS (SELECT *, {", ".join(f"({c})::INT f_{r}" for r, (c, _) in host_rules.RULES
 h AS (SELECT source, count(*) n, {", ".join(f"sum(f_{r}) n_{r}" for r in host_rules.RULES)} FROM f GROUP BY source),
 mo AS (SELECT {_RATES} FROM h),
 p AS (SELECT h.*, mo.*, {", ".join(f"CASE WHEN v_{r} > 0 THEN greatest({host_rules.LEAST_WEIGHT}, least({host_rules.MOST_WEIGHT}, m_{r} * (1 - m_{r}) / v_{r} - 1)) ELSE {host_rules.MOST_WEIGHT} END w_{r}" for r in host_rules.RULES)} FROM h, mo),
-v AS (SELECT source, ({_FAILED}) host_failed FROM p)
+v AS (SELECT source, ({_FAILED}) host_failed, {", ".join(f"round((n_{r} + m_{r} * w_{r}) / (n + w_{r}), 9)::DOUBLE rate_{r}" for r in host_rules.RULES)} FROM p)
 SELECT doc_id, n_words::BIGINT n_words, word_chars::BIGINT word_chars, n_symbols::BIGINT n_symbols, n_dup_lines::BIGINT n_dup_lines,
   n_repeat_words::BIGINT n_repeat_words, ({" OR ".join(f"f_{b} = 1" for b in host_rules.BASE)}) base_failed,
-  NOT ({" OR ".join(f"f_{b} = 1" for b in host_rules.BASE)}) AND NOT host_failed AS kept, f.source, host_failed
+  NOT ({" OR ".join(f"f_{b} = 1" for b in host_rules.BASE)}) AND NOT host_failed AS kept, f.source, host_failed,
+  {", ".join(f"rate_{r}" for r in host_rules.RULES)}
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
 
