@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,17 +110,24 @@ def find_by_plaintext(
 def find_members(
     df: DataFrame, keys: Keys, ids: DataFrame | None = None, emails: DataFrame | None = None
 ) -> DataFrame:
-    """Members with one of the ids or one of the e-mail addresses."""
+    """Members with one of the ids or one of the e-mail addresses, by one semi join on tagged keys."""
     email = MEMBER_FIELDS[1]
-    hits = []
+    wanted = []
     if ids is not None:
-        hits.append(skew.lookup_join(df, ids.select(F.col("id").cast("bigint").alias("id")).distinct(), ["id"], "left_semi"))
+        wanted.append(ids.select(F.lit("id").alias("_kind"), F.col("id").cast("bigint").cast("string").alias("_value")))
     if emails is not None:
-        hits.append(find_by_plaintext(df, emails, keys, email, emails.columns[0]))
-    if len(hits) == 2:
-        first, second = hits
-        return first.unionByName(second.join(first.select("id"), "id", "left_anti"))
-    return hits[0] if hits else df.limit(0)
+        hashed = blind_index(keys, email, F.col(emails.columns[0]))
+        wanted.append(emails.select(F.lit("email").alias("_kind"), hashed.alias("_value")))
+    if not wanted:
+        return df.limit(0)
+    asked = reduce(DataFrame.unionByName, wanted).distinct()
+    held = F.array(
+        F.struct(F.lit("id").alias("kind"), F.col("id").cast("string").alias("value")),
+        F.struct(F.lit("email").alias("kind"), F.col(email.hash).alias("value")),
+    )
+    tagged = df.withColumn("_key", F.explode(held)).withColumn("_kind", F.col("_key.kind")).withColumn("_value", F.col("_key.value")).drop("_key")
+    found = skew.lookup_join(tagged, asked, ["_kind", "_value"], "left_semi")
+    return found.select(df.columns).dropDuplicates(["id"])  # a member may be met by both
 
 
 def show_page(df: DataFrame, keys: Keys, n: int = 5) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from tallymark.plans.registry import AS_OF, EARLIER, KEYS, LATEST, WINDOW
+from tallymark.plans.registry import AS_OF, EARLIER, KEYS, LATEST, PAGE, SLICE, WINDOW
 from tallymark.sources import schemas
 
 _BASE = f"""
@@ -369,3 +369,19 @@ SQL["pii_sizes"] = """SELECT id, 'url' AS field, CAST(n AS INTEGER) AS "bytes" F
 SQL["tsv_roundtrip"] = 'SELECT doc_id, "text", lang, "source", n_chars FROM documents'
 SQL["tsv_lines"] = _LEDGER + """SELECT CONCAT(id, chr(9), issuance_id, chr(9), strftime(used_at, '%Y-%m-%d %H:%M:%S'), chr(9),
   COALESCE(strftime(canceled_at, '%Y-%m-%d %H:%M:%S.%f'), '\\N')) "value" FROM usages"""
+
+SQL["range_slice"] = _REPLAYED + f"SELECT issuance_id, state, last_history_id FROM st WHERE issuance_id BETWEEN {SLICE[0]} AND {SLICE[1]}"
+SQL["verdict"] = _RULES + f""", sums AS (SELECT sha256(CONCAT_WS(':', COUNT(*), {_WORDS})) findings_checksum
+  FROM (SELECT DISTINCT sha256(CONCAT(finding_type, chr(31), target_key, chr(30))) h FROM f) d),
+print AS (SELECT sha256(CONCAT_WS('|', h.m, h.n, i.n, s.a, strftime(i.u, '%Y-%m-%d %H:%M:%S.%f'))) dataset_fingerprint FROM
+  (SELECT MAX(id) m, COUNT(*) n FROM histories WHERE created_at <= TIMESTAMP '{AS_OF}') h,
+  (SELECT COUNT(*) n, MAX(updated_at) u FROM issuances) i, (SELECT CAST(SUM(active_count) AS BIGINT) a FROM stocks) s)
+SELECT CAST(7 AS BIGINT) id, 'CLEAN' dataset, 'FULL' AS "scope", CASE WHEN n > 0 THEN 'FAIL' ELSE 'PASS' END verdict, 'COMPLETE' stats_status,
+  CAST(n AS INTEGER) finding_count, findings_checksum, dataset_fingerprint, 'BATCH' origin FROM sums, print, (SELECT COUNT(*) n FROM f) c"""
+SQL["committed_findings"] = _RULES + """SELECT ROW_NUMBER() OVER (ORDER BY finding_type, target_key) id, CAST(7 AS BIGINT) run_id,
+  finding_type, target_key, expected, actual FROM f WHERE finding_type IN ('STOCK_MISMATCH', 'REPLAY_MISMATCH')"""
+SQL["members_found"] = _PEOPLE.replace("c_mktsegment,", "c_mktsegment, c_nationkey,") + f"""SELECT id, email, phone FROM p
+WHERE c_nationkey = 3 OR (c_mktsegment = 'BUILDING' AND owes) ORDER BY id LIMIT {PAGE}"""
+SQL["whole_seconds"] = """SELECT event_id, date_trunc('second', ts + to_microseconds(event_id % 1000000)) AS "second" FROM events"""
+SQL["tsv_files"] = """SELECT CASE WHEN doc_id % 10 <> 0 THEN 'read' WHEN CAST(doc_id AS VARCHAR) LIKE '1%' THEN 'not 5 cells' ELSE 'n_chars is no long' END outcome,
+  COUNT(*) AS lines, CAST(SUM(doc_id) AS BIGINT) total FROM documents GROUP BY 1"""

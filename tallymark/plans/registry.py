@@ -13,7 +13,7 @@ from tallymark.functions.rows import fixed_rows
 from tallymark import contract as C
 from tallymark.functions import text, times
 from tallymark.operators import apportion, audits, inject, pii, reconcile, replay, rules, skew, stats
-from tallymark.plans import generate
+from tallymark.plans import generate, runs
 from tallymark.sources import adapter, store, tsv
 from tallymark.streaming import incremental as incremental_
 
@@ -25,6 +25,9 @@ EARLIER = "1998-01-01 00:00:00"
 WINDOW = "1998-12-01 00:00:00"
 FINDING = ["target_key", "expected", "actual"]
 LATEST = 1_000
+SLICE = (200, 899)  # of keys, for a partial check
+PAGE = 50
+SHARD_ROWS = 300
 # published keys of the test vectors, no secret
 KEYS = pii.Keys(
     base64.b64decode("6QFuC9nG//rkMttxxFPGIhUpCrNolTrLMv3jh5LZm+E="),
@@ -50,6 +53,15 @@ def event_chain(spark, sf):
     return linked.select("id", "issuance_id", "previous", "from_status", "to_status")
 
 
+@query
+def range_slice(spark, sf):
+    """Replay of a slice of keys from files that are clustered by key."""
+    path = f"{store.shared_folder(spark)}/clustered-{uuid.uuid4().hex}"
+    store.write_clustered(adapter.histories(spark, sf), path, "issuance_id")
+    stored = spark.read.parquet(path)
+    return replay.replay_state(replay.key_range(stored, *SLICE), AS_OF).drop("last_event_at")
+
+
 @query
 def active_usages(spark, sf):
     return replay.active_usage_counts(adapter.usages(spark, sf), AS_OF)
@@ -326,6 +338,25 @@ def run_determinism(spark, sf):
     return reconcile.compare_runs(adapter.runs(spark, sf))
 
 
+@query
+def verdict(spark, sf):
+    """The untidy ledger verified and the run committed; its record as a reader sees it."""
+    root = f"{store.shared_folder(spark)}/runs-{uuid.uuid4().hex}"
+    record = runs.verify_and_commit(spark, adapter.ledger(spark, sf), AS_OF, root, run_id=7)
+    return record.select("id", "dataset", "scope", "verdict", "stats_status", "finding_count", "findings_checksum", "dataset_fingerprint", "origin")
+
+
+@query
+def committed_findings(spark, sf):
+    """A run's findings, committed by a repeated run after one that stopped half-way."""
+    root = f"{store.shared_folder(spark)}/runs-{uuid.uuid4().hex}"
+    led = adapter.ledger(spark, sf)
+    runs.write_findings(rules.run_rules(led, EARLIER, ["STOCK_MISMATCH"]), root, 7, "stopped")
+    runs.write_findings(rules.run_rules(led, AS_OF, ["STOCK_MISMATCH", "REPLAY_MISMATCH"]), root, 7, "whole")
+    runs.commit(spark, root, 7, "whole")
+    return runs.findings(spark, root).select("id", "run_id", "finding_type", *FINDING)
+
+
 # --- statistics ---------------------------------------------------------------
 
 @query
@@ -422,6 +453,11 @@ def brand_calendar(spark, sf):
     )
 
 
+@query
+def whole_seconds(spark, sf):
+    return adapter.table(spark, sf, "events").select("event_id", times.truncate_second(times.plus_micros(F.col("ts"), F.col("event_id") % 1_000_000)).alias("second"))
+
+
 @query
 def discount_amount(spark, sf):
     o = adapter.table(spark, sf, "orders")
@@ -557,6 +593,16 @@ def pii_lookup(spark, sf):
     return pii.find_by_plaintext(stored, asked, KEYS, PERSON[0]).select("id", "email_hash")
 
 
+@query
+def members_found(spark, sf):
+    """Members by id or by address in one look-up: the first of them by id, decrypted."""
+    c = adapter.table(spark, sf, "customer")
+    stored = pii.protect(_people(spark, sf).withColumn("name", F.lit(None).cast("string")), KEYS)
+    ids = c.where("c_nationkey = 3").select(F.col("c_custkey").alias("id"))
+    emails = c.where("c_mktsegment = 'BUILDING' AND c_acctbal < 0").select(F.concat(F.upper("c_name"), F.lit("@example.com")).alias("plaintext"))
+    return pii.show_page(pii.find_members(stored, KEYS, ids, emails), KEYS, PAGE).select("id", "email", "phone")
+
+
 @query
 def pii_sizes(spark, sf):
     """Encrypted page addresses outside the allowed size: empty ones, and ones with bytes appended after encryption."""
@@ -583,3 +629,21 @@ def tsv_roundtrip(spark, sf):
 def tsv_lines(spark, sf):
     columns = [("id", "long"), ("issuance_id", "long"), ("used_at", "dt"), ("canceled_at", "dt6")]
     return tsv.to_lines(adapter.usages(spark, sf), columns)
+
+
+@query
+def tsv_files(spark, sf):
+    """Documents through real files of bounded size, some lines damaged on the way: what was read, and what was not and why."""
+    columns = [("doc_id", "long"), ("text", "str"), ("lang", "str"), ("source", "str"), ("n_chars", "long")]
+    docs = adapter.table(spark, sf, "documents")
+    path = f"{store.shared_folder(spark)}/shards-{uuid.uuid4().hex}"
+    tsv.write_shards(docs.where("doc_id % 10 <> 0"), path, columns, rows_per_file=SHARD_ROWS)
+    broken = tsv.to_lines(docs.where("doc_id % 10 = 0"), columns)
+    cut = F.when(F.col("value").startswith("1"), F.regexp_replace("value", "\t[^\t]*$", "")).otherwise(F.regexp_replace("value", "[0-9]+$", "many"))
+    broken.select(cut.alias("value")).write.mode("append").option("maxRecordsPerFile", SHARD_ROWS).text(path)
+    good, bad = tsv.read_shards(spark, path, columns)
+    read = good.agg(F.lit("read").alias("outcome"), F.count(F.lit(1)).alias("lines"), F.sum("doc_id").alias("total"))
+    lost = bad.groupBy(F.col("reason").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.split("value", "\t")[0].cast("bigint")).alias("total")
+    )
+    return read.unionByName(lost)

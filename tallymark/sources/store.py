@@ -68,6 +68,15 @@ def write_bucketed(df: DataFrame, name: str, table: str, buckets: int) -> None:
     conform(df, table).write.bucketBy(buckets, key).sortBy(key).mode("errorifexists").saveAsTable(name)
 
 
+def write_clustered(df: DataFrame, path: str, key: str, group_bytes: int = 8 << 20, mode: str = "errorifexists") -> None:
+    """Files that hold ranges of ``key``, each sorted by it in row groups of about ``group_bytes``.
+
+    The groups' statistics then leave all but a slice of a key range unread.
+    """
+    ranges = df.repartitionByRange(key).sortWithinPartitions(key)
+    ranges.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).option("parquet.block.size", group_bytes).parquet(path)
+
+
 def read_jdbc(
     spark: SparkSession,
     url: str,

@@ -54,3 +54,40 @@ def read_tsv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 def write_tsv(df: DataFrame, path: str, table: str, mode: str = "errorifexists", rows_per_file: int = ROWS_PER_FILE) -> None:
     to_lines(df, table_columns(table)).write.mode(mode).option("maxRecordsPerFile", rows_per_file).text(path)
+
+
+def checked(lines: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """The parsed columns, and ``reason``: NULL, or what makes the line unreadable (the columns are NULL then).
+
+    A value that is not the NULL mark and cannot be read as its kind is named; nothing raises.
+    """
+    cells = lines.select("*", F.split("value", "\t", -1).alias("_cells"))
+
+    def cell(i: int) -> Column:
+        return F.get("_cells", F.lit(i))
+
+    def read(i: int, kind: str) -> Column:
+        if kind in ("str", "bin"):
+            return parse_value(cell(i), kind)
+        present = F.when(cell(i) != NULL_MARK, cell(i))
+        if kind == "bool":
+            return F.when(present == "1", True).when(present == "0", False)
+        return present.try_cast(schemas.KINDS[kind])
+
+    wrong = [F.when((cell(i) != NULL_MARK) & read(i, kind).isNull(), F.lit(f"{name} is no {kind}")) for i, (name, kind) in enumerate(columns)]
+    reason = F.when(F.size("_cells") != len(columns), F.lit(f"not {len(columns)} cells")).otherwise(F.coalesce(*wrong))
+    told = cells.withColumn("reason", reason)
+    fine = F.col("reason").isNull()
+    return told.select(*lines.columns, *[F.when(fine, read(i, kind)).alias(name) for i, (name, kind) in enumerate(columns)], "reason")
+
+
+def write_shards(df: DataFrame, path: str, columns: list[tuple[str, str]], rows_per_file: int = ROWS_PER_FILE, mode: str = "errorifexists") -> None:
+    """Files of at most so many lines."""
+    to_lines(df, columns).write.mode(mode).option("maxRecordsPerFile", rows_per_file).text(path)
+
+
+def read_shards(spark: SparkSession, path: str, columns: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
+    """What the files hold: the rows, and (file, value, reason) of lines that are none."""
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    told = checked(lines, columns)
+    return told.where("reason IS NULL").select(*[n for n, _ in columns]), told.where("reason IS NOT NULL").select("file", "value", "reason")
