@@ -236,10 +236,11 @@ def near_pivots(documents: DataFrame, pivots: DataFrame, percent: int, width: in
     ordered = (
         far.join(shared, ["id", "pivot"])
         .withColumn("size", F.size("d").cast("bigint"))
-        .withColumn("alone", F.col("size") - F.size("shared"))
-        .select("id", "pivot", "n", "size", F.posexplode(F.sort_array("shared")).alias("at", "s"), "alone")
-        .select("id", "pivot", "n", "size", (F.col("alone") + F.col("at")).alias("at"), F.col("s.token").alias("token"))
-        .where(F.col("at") <= p * F.col("n") / percent)  # the most two linked sets may differ in: the prefix
+        .withColumn("some", F.size("shared").cast("bigint"))
+        .select("id", "pivot", "n", "size", "some", F.posexplode(F.sort_array("shared")).alias("at", "s"))
+        # the most two linked sets may differ in: the prefix
+        .where(F.col("size") - F.col("some") + F.col("at") <= p * F.col("n") / percent)
+        .select("id", "pivot", "n", "size", "some", "at", F.col("s.token").alias("token"))
     )
     left, right = ordered.alias("a"), ordered.alias("b")
     slack = p * (F.col("a.n") + F.col("b.n"))
@@ -250,7 +251,8 @@ def near_pivots(documents: DataFrame, pivots: DataFrame, percent: int, width: in
         & (F.col("a.id") < F.col("b.id"))
         & _near("a", "b", percent)
         & (q * total > slack)
-        & (q * (total - 2 * _room(F.col("a.at"), F.col("b.at"), F.col("a.size"), F.col("b.size"))) <= slack)
+        # what no other document has cannot be shared: room is that among the others
+        & (q * (total - 2 * _room(F.col("a.at"), F.col("b.at"), F.col("a.some"), F.col("b.some"))) <= slack)
     )
     pairs = left.join(right, match).select("a.pivot", F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
     deltas = far.select("pivot", "id", "n", "d")
