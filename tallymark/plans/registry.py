@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.rows import fixed_rows
 from tallymark import contract as C
-from tallymark.functions import text, times
+from tallymark.functions import numbers, text, times
 from tallymark.operators import apportion, audits, inject, pii, reconcile, replay, rules, skew, stats
-from tallymark.plans import generate, runs
+from tallymark.plans import runs
 from tallymark.sources import adapter, store, tsv
 from tallymark.streaming import incremental as incremental_
 
@@ -468,7 +468,7 @@ def discount_amount(spark, sf):
     )
     order = F.floor("o_totalprice").cast("bigint")
     return o.select(
-        "o_orderkey", generate.discount(policy, order, F.lit(20), F.lit(20_000), F.lit(5_000)).alias("discount")
+        "o_orderkey", numbers.discount(policy, order, F.lit(20), F.lit(20_000), F.lit(5_000)).alias("discount")
     )
 
 
@@ -477,9 +477,9 @@ def scatter_ids(spark, sf):
     """Customer numbers scattered by a bijection, and brought back."""
     c = adapter.table(spark, sf, "customer")
     n = c.agg((F.max("c_custkey") + 1).alias("n")).first()["n"]
-    there = F.pmod(generate._times_mod(F.lit(2147483659 % n), F.col("c_custkey"), F.lit(n), n) + 12_345, F.lit(n))
+    there = F.pmod(numbers.times_mod(F.lit(2147483659 % n), F.col("c_custkey"), F.lit(n), n) + 12_345, F.lit(n))
     back = pow(2147483659 % n, -1, n)
-    again = generate._times_mod(F.lit(back), F.pmod(F.col("scattered") - 12_345, F.lit(n)), F.lit(n), n)
+    again = numbers.times_mod(F.lit(back), F.pmod(F.col("scattered") - 12_345, F.lit(n)), F.lit(n), n)
     return c.select("c_custkey", there.alias("scattered")).withColumn("restored", again)
 
 
@@ -492,7 +492,7 @@ def sample_without_replacement(spark, sf):
         F.raise_error(F.concat(F.lit("cannot draw that many different parts: "), F.col("k").cast("string"))).cast("bigint")
     )
     picks = skew.expand(sizes.withColumn("k", enough), "k", "i").select(
-        "l_orderkey", generate.shuffle_index(7, "parts", F.col("i"), F.lit(parts), F.col("l_orderkey"), parts).alias("part")
+        "l_orderkey", numbers.shuffle_index(7, "parts", F.col("i"), F.lit(parts), F.col("l_orderkey"), parts).alias("part")
     )
     each = picks.groupBy("l_orderkey", "part").agg(F.count(F.lit(1)).alias("n"))
     return each.groupBy("l_orderkey").agg(

@@ -1,23 +1,16 @@
-"""Jobs: build a ledger on storage, verify one, record the run."""
+"""Jobs: verify a ledger on storage, record the run."""
 
 from __future__ import annotations
 
 import datetime as dt
-import json
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark import contract as C
 from tallymark.functions.times import ntz
-from tallymark.operators import audits, reconcile, rules, stats
-from tallymark.operators.inject import inject
+from tallymark.operators import audits, reconcile, rules
 from tallymark.operators.ledger import Ledger
-from tallymark.operators.pii import Keys
-from tallymark.plans import generate
-from tallymark.plans.catalog import Profile, build_catalog
 from tallymark.sources import store
 
 
@@ -151,118 +144,3 @@ def run_record(
         ntz(finished).alias("finished_at"),
         F.lit(origin).alias("origin"),
     )
-
-
-@contextmanager
-def small_methods(spark: SparkSession):
-    """Let projections too long for the JVM's compiler (8,000 bytes of byte code a
-    method) be generated in pieces: interpreted, they run several times slower."""
-    name = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "8000")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
-def build_ledger(spark: SparkSession, profile: Profile, keys: Keys, root: str, *, asof_state: bool = False) -> str:
-    """Generate a ledger under ``root``; returns the folder with its tables.
-
-    CLEAN: 0 findings to come. CORRUPT: the clean base goes to ``root/base`` and
-    the ledger with its planted faults and expected findings to ``root/ledger``.
-    """
-    catalog = build_catalog(spark, profile)
-    corrupt = profile.dataset == "CORRUPT"
-    base, final = f"{root}/base", f"{root}/ledger"
-    first = base if corrupt else final
-    store.write_tables(generate.dimension_tables(spark, catalog, profile), first)
-    with small_methods(spark):
-        store.write_tables(generate.fact_tables(spark, catalog, profile, keys, staging=f"{root}/emitted"), first)
-    issued = store.read_table(spark, first, "issuances")
-    store.write_table(generate.stocks(catalog, issued, profile), first, "coupon_stocks")
-    if corrupt:
-        faulty = inject(
-            store.read_ledger(spark, base, ["members"]),
-            profile.as_of,
-            seed=profile.seed,
-            seed_run_id=profile.seed_run_id,
-            plant_grade_fault=profile.plant_grade_fault,
-        )
-        untouched = store.read_tables(spark, base, ("brands", "coupon_templates", "idempotency_records"))
-        store.write_tables({**faulty.tables(), **untouched}, final)
-        expected = store.read_table(spark, final, "expected_findings")
-        wrong = reconcile.check_fault_matrix(expected).collect()  # at most one row per fault type and rule
-        if wrong:
-            raise ValueError(f"planted faults differ from the plan: {wrong}")
-    _write_seed_runs(spark, profile, final)
-    if asof_state:
-        from tallymark.operators.replay import asof_state as state_of
-
-        ledger = store.read_ledger(spark, final)
-        state = state_of(ledger.issuance_histories, ledger.issuance_usages, profile.as_of)
-        store.write_table(state, final, "asof_state")
-    return final
-
-
-def _write_seed_runs(spark: SparkSession, profile: Profile, root: str) -> None:
-    """Finished runs of the past, as data for reports: never read as verdicts."""
-    tables = store.read_tables(spark, root, ("coupons", "coupon_stocks", "issuances", "issuance_histories"))
-    fingerprint = reconcile.dataset_fingerprint(
-        tables["issuance_histories"], tables["issuances"], tables["coupon_stocks"], profile.as_of
-    )
-    corrupt = profile.dataset == "CORRUPT"
-    if corrupt:
-        expected = store.read_table(spark, root, "expected_findings")
-        n = expected.count()
-        plan = [(1, "FULL", 1, "FAIL", "SKIPPED", n, profile.seed_run_id)]
-    else:
-        expected = store.read_table(spark, root, "coupons").limit(0).select(
-            F.lit("").alias("finding_type"), F.lit("").alias("target_key")
-        )
-        plan = [
-            (1, "FULL", 1, "PASS", "COMPLETE", 0, None),
-            (2, "FULL", 2, "PASS", "COMPLETE", 0, None),
-            (3, "INCREMENTAL", 1, "PASS", "SKIPPED", 0, None),
-        ]
-        store.write_tables(generate.stats_tables(tables, [1, 2]), root)
-    checksum = store.checkpoint(reconcile.findings_checksum(expected))
-    fingerprint = store.checkpoint(fingerprint)
-    records = [
-        run_record(
-            spark, run_id=i, as_of=profile.as_of, dataset=profile.dataset, verdict=v, stats_status=s, finding_count=n,
-            checksum=checksum, fingerprint=fingerprint, started=profile.as_of,
-            finished=profile.as_of + dt.timedelta(minutes=4 + i), origin="SEED", scope=scope, attempt=attempt, seed_run_id=run,
-        )
-        for i, scope, attempt, v, s, n, run in plan
-    ]
-    everything = records[0]
-    for r in records[1:]:
-        everything = everything.unionByName(r)
-    store.write_table(everything, root, "verification_runs")
-
-
-def manifest(spark: SparkSession, profile: Profile, root: str) -> str:
-    """JSON summary of a built ledger: profile, row counts, distributions, digests."""
-    names = ["coupons", "members", "issuances", "issuance_histories", "issuance_usages", "coupon_stocks"]
-    tables = store.read_tables(spark, root, names)
-    measures = stats.stored_summary(tables, tables["issuances"], tables["coupon_stocks"])
-    run = store.read_table(spark, root, "verification_runs").orderBy("id").first()
-    return json.dumps(
-        {
-            "profile": {
-                "dataset": profile.dataset,
-                "scale": profile.scale,
-                "seed": profile.seed,
-                "members": profile.members,
-                "issuances": profile.issuances,
-                "past_months": profile.past_months,
-            },
-            "as_of": profile.as_of.isoformat(sep=" "),
-            "measures": {r["measure"]: r["value"] for r in measures.collect()},  # one row per table or status
-            "dataset_fingerprint": run["dataset_fingerprint"],
-            "findings_checksum": run["findings_checksum"],
-            "faults": {f: n for f, (n, _) in C.FAULT_RULES.items()} if profile.dataset == "CORRUPT" else None,
-        },
-        indent=2,
-    )
