@@ -297,7 +297,7 @@ def rules_at(ledger: Ledger, instants: Sequence[replay.AsOf], only: Iterable[str
             digest = replay.digest(ledger.issuance_histories, t, ledger.issuances, ledger.issuance_usages)
             parts.append(state_findings(ledger.coupon_stocks, digest, only).withColumn("instant", F.lit(j)))
     elif swept == [4] and len(instants) == 1:
-        chained = replay.chain(ledger.issuance_histories, instants[0], hot=skew.Hot(("issuance_id",), {}))
+        chained = replay.chain(ledger.issuance_histories, instants[0], hot=skew.Hot(("issuance_id",)))
         parts.append(illegal_transition(chained).withColumn("instant", F.lit(0)))
     elif swept:
         parts.append(

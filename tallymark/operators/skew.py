@@ -2,9 +2,10 @@
 
 Three tools:
 
-* ``hot_keys`` finds heavy keys with a mergeable sketch: one narrow scan, no
-  shuffle by key, at most ``MAX_HOT`` rows to the driver. Nothing downstream
-  depends on the sketch for correctness, only for balance.
+* ``hot_keys`` finds all heavy keys, however many, by exact counts in two steps:
+  rows per cell of hashed keys, combined map-side, then rows per key in the
+  crowded cells alone. The keys stay a table. Nothing downstream depends on
+  them for correctness, only for balance.
 * ``lookup_join`` attaches a table that is unique per key: broadcast when a
   bounded count proves it small, otherwise shuffled, with hot keys salted.
 * ``segments`` cuts an ordered group into many ranges by sampled split points,
@@ -23,8 +24,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.rows import fixed_rows
 
-MAX_HOT = 1024
-SKETCH_ITEMS = 10_000
+CELLS = 1 << 20  # of hashed keys, counted first
 HOT_ROWS = 1_000_000  # of one key; up to this one task copes, however large the table is
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
@@ -33,27 +33,28 @@ OVERSAMPLE = 8  # split candidates per segment
 
 @dataclass(frozen=True)
 class Hot:
-    """Heavy keys of one table: hash of the key -> number of pieces to cut it in."""
+    """Heavy keys of one table: a stored table of hashes of keys and the pieces to cut them in, at most ``most``."""
 
     columns: tuple[str, ...]
-    pieces: dict[int, int]
+    keys: DataFrame | None = None  # _hot bigint, _pieces int
+    most: int = 1
 
     def __bool__(self) -> bool:
-        return bool(self.pieces)
+        return self.most > 1
 
-    def frame(self, spark) -> DataFrame:
-        rows = [(h, n) for h, n in sorted(self.pieces.items())]
-        return fixed_rows(spark, rows, "_hot bigint, _pieces int")
+    @property
+    def pieces(self) -> dict[int, int]:
+        """For looking at: all keys, brought to the driver. No operator uses it."""
+        return {r["_hot"]: r["_pieces"] for r in self.keys.collect()} if self.keys is not None else {}
 
     def hash(self) -> Column:
         return key_hash(self.columns)
 
     def mark(self, df: DataFrame) -> DataFrame:
-        """Add ``_pieces``: 1 for ordinary keys. Joins at most MAX_HOT rows."""
-        hot = F.broadcast(self.frame(df.sparkSession))
+        """Add ``_pieces``: 1 for ordinary keys. Joins at most one row for every HOT_ROWS rows of the table."""
         return (
             df.withColumn("_hot", self.hash())
-            .join(hot, "_hot", "left")
+            .join(F.broadcast(self.keys), "_hot", "left")
             .withColumn("_pieces", F.coalesce("_pieces", F.lit(1)))
             .drop("_hot")
         )
@@ -65,22 +66,27 @@ def key_hash(columns: Sequence[str]) -> Column:
 
 def hot_keys(df: DataFrame, columns: Sequence[str], floor: int | None = None) -> Hot:
     """Keys of ``df`` with more rows than one task should hold."""
+    from tallymark.sources.store import staged
+
     columns = tuple(columns)
-    row = df.agg(
-        F.expr(
-            f"approx_top_k(xxhash64({', '.join(f'`{c}`' for c in columns)}), {MAX_HOT}, {SKETCH_ITEMS})"
-        ).alias("top"),
-    ).first()
     threshold = HOT_ROWS if floor is None else floor
+    hashed = df.select(key_hash(columns).alias("_hot"))
+    cell = F.pmod("_hot", F.lit(CELLS)).alias("_cell")
+    # a heavy key's cell is crowded: fewer than one for every ``threshold`` rows
+    crowded = hashed.groupBy(cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > threshold).select("_cell")
+    if crowded.isEmpty():
+        return Hot(columns)
     piece = max(1, threshold // 4)
-    return Hot(
-        columns,
-        {
-            item["item"]: -(-item["count"] // piece)
-            for item in (row["top"] or [])
-            if item["count"] > threshold
-        },
+    counted = (
+        hashed.select("_hot", cell)
+        .join(F.broadcast(crowded), "_cell", "left_semi")
+        .groupBy("_hot")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > threshold)
     )
+    keys = staged(counted.select("_hot", F.ceil(F.col("n") / piece).cast("int").alias("_pieces")), "hot-keys")
+    most = keys.agg(F.max("_pieces").alias("most")).first()["most"]
+    return Hot(columns, keys, most) if most else Hot(columns)
 
 
 def is_small(df: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
@@ -200,8 +206,8 @@ def with_hot_segments(df: DataFrame, key: str, order: Sequence[str], hot: Hot) -
     here = F.struct(*[F.col(c) for c in order])
     return (
         marked.drop("_pieces")
-        .join(F.broadcast(points), key, "left")  # at most MAX_HOT rows, a point for each HOT_ROWS / 4 rows
-        .withColumn("_segment", F.coalesce(_locate(F.col("_points"), here, max(hot.pieces.values(), default=1)), F.lit(0)))
+        .join(F.broadcast(points), key, "left")  # one row per hot key, a point for each HOT_ROWS / 4 of its rows
+        .withColumn("_segment", F.coalesce(_locate(F.col("_points"), here, hot.most), F.lit(0)))
         .drop("_points")
     )
 

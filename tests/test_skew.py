@@ -132,7 +132,7 @@ def test_rules_agree_on_both_paths(spark, tight):
     assert heavy.hot("issuance_histories", "issuance_id") and heavy.hot("issuances", "coupon_id", "code")
     fast = sorted(rules.run_rules(heavy, adapter.AS_OF).collect())
 
-    none = lambda *c: skew.Hot(c, {})
+    none = lambda *c: skew.Hot(c)
     plain = heavy.with_tables()
     plain._hot.update({("issuance_histories", ("issuance_id",)): none("issuance_id"), ("issuances", ("coupon_id", "code")): none("coupon_id", "code")})
     skew.BROADCAST_ROWS = 10**6
@@ -151,3 +151,22 @@ def test_chain_same_under_any_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got[0] == got[1] == got[2]
+
+
+def test_five_thousand_hot_keys(spark):
+    """Every heavy key is found and cut, and results are those of a plain window."""
+    from pyspark.sql import Window
+
+    many = spark.range(5_000 * 24).select((F.col("id") % 5_000).alias("k"), "id")
+    few = spark.range(10**6, 10**6 + 3_000).select((F.col("id") % 1_500 + 10_000).alias("k"), "id")
+    one = spark.range(2 * 10**6, 2 * 10**6 + 20_000).select(F.lit(-1).cast("bigint").alias("k"), "id")
+    df = many.unionByName(few).unionByName(one).select("k", "id", F.xxhash64("id").alias("v"))
+    hot = skew.hot_keys(df, ["k"], floor=20)
+    assert hot and hot.keys.count() == 5_001 and hot.most == 4_000
+    assert not skew.hot_keys(df, ["k"], floor=20_000)
+    got = skew.lag_in_group(df, "k", ("id",), "v", "p", hot=hot)
+    want = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("id")))
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
+    lookup = df.select("k").distinct().withColumn("x", F.col("k") * 3)
+    joined = skew.lookup_join(df, lookup, ["k"], hot=hot, broadcast_rows=0)
+    assert joined.where("x <> k * 3").isEmpty() and joined.count() == df.count()
