@@ -12,7 +12,7 @@
    documents that are not connected by then, links are looked for through rare differences they share.
 5. The components of all confirmed links are found by spreading labels.
 
-At a similarity of 0.8 a pair is within the threshold with a probability of 0.998, and shares a key with one of 0.99998;
+At a similarity of 0.8 a pair is within the threshold with a probability of 0.997, and shares a key with one of 0.99998;
 whatever shares a key is confirmed, so the second is the recall of a single link. Nothing is sampled or capped.
 
 Defined results: a null or wordless text has an empty set and links with nothing; a text shorter than a shingle is one
@@ -40,7 +40,7 @@ VALUES, BITS = 40, 16
 CHUNKS, ERRORS = 8, 1
 #: All pairs of signatures that differ in at most so many values are found.
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1
-#: Pairs that share a key but differ in more values than this are not confirmed: at a similarity of 0.8, one in 10 millions.
+#: Pairs that share a key but differ in more values than this are not confirmed: at a similarity of 0.8, 2 in 10 millions.
 HOPELESS = 22
 #: The documents of a key with more than this are a crowd.
 LONG = 16
