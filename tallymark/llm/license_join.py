@@ -27,6 +27,8 @@ from tallymark.llm.common import ascii_lower, bounded, text_of
 
 CONTAINMENT = 0.8
 MOST_TEMPLATE_WORDS = 2_000
+#: Candidates (ids and a template, some 20 bytes each) that may be broadcast; beyond, texts are shuffled to them.
+CANDIDATES = 400_000
 PHRASES = {
     "gnu general public license": "gpl",
     "apache license": "apache",
@@ -216,7 +218,7 @@ def similar_blocks(
     if not any(sets):
         return spark.createDataFrame([], result)
     order = global_order(documents, sorted(set().union(*sets)))
-    candidates = bounded(similar_texts(documents, keep, sets, order, containment))
+    candidates = bounded(similar_texts(documents, keep, sets, order, containment), CANDIDATES)
     whole = [
         (t, label, words, least_shared(len(words), containment), len(all_words(text)))
         for t, ((label, text), words) in enumerate(zip(templates, sets))
