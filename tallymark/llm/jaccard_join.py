@@ -229,18 +229,21 @@ def near_pivots(documents: DataFrame, pivots: DataFrame, percent: int, width: in
         .where((F.col("weight") + F.col("centre.weight") <= 0) & (F.col("id") != F.col("centre.id")))
         .select(F.col("centre.id").alias("a"), F.col("id").alias("b"))
     )
+    # documents of the star are connected by it: pairs of two of them need not be looked for
+    starred = weighed.join(centre, "pivot").select("id", "pivot", (F.col("weight") + F.col("centre.weight") <= 0).alias("starred"))
     tokens = far.select("id", "pivot", F.explode("d").alias("token"))
     counts = tokens.groupBy("pivot", "token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = tokens.join(counts, ["pivot", "token"]).groupBy("id", "pivot").agg(F.collect_set(F.struct("df", "token")).alias("shared"))
     # differences no other document has come first in the order; their number is all that matters of them
     ordered = (
         far.join(shared, ["id", "pivot"])
+        .join(starred.groupBy("id", "pivot").agg(F.min("starred").alias("starred")), ["id", "pivot"])
         .withColumn("size", F.size("d").cast("bigint"))
         .withColumn("some", F.size("shared").cast("bigint"))
-        .select("id", "pivot", "n", "size", "some", F.posexplode(F.sort_array("shared")).alias("at", "s"))
+        .select("id", "pivot", "n", "size", "some", "starred", F.posexplode(F.sort_array("shared")).alias("at", "s"))
         # the most two linked sets may differ in: the prefix
         .where(F.col("size") - F.col("some") + F.col("at") <= p * F.col("n") / percent)
-        .select("id", "pivot", "n", "size", "some", "at", F.col("s.token").alias("token"))
+        .select("id", "pivot", "n", "size", "some", "starred", "at", F.col("s.token").alias("token"))
     )
     left, right = ordered.alias("a"), ordered.alias("b")
     slack = p * (F.col("a.n") + F.col("b.n"))
@@ -249,6 +252,7 @@ def near_pivots(documents: DataFrame, pivots: DataFrame, percent: int, width: in
         (F.col("a.pivot") == F.col("b.pivot"))
         & (F.col("a.token") == F.col("b.token"))
         & (F.col("a.id") < F.col("b.id"))
+        & ~(F.col("a.starred") & F.col("b.starred"))
         & _near("a", "b", percent)
         & (q * total > slack)
         # what no other document has cannot be shared: room is that among the others
